@@ -23,7 +23,9 @@ from ..functions.scalars import (
     recency_days,
     zip_prefix,
 )
-from .ranking import exact_median
+from ..session import cut_lineage
+from .explore import top_n_per_group
+from .ranking import column_medians
 
 # --- Fixed values: the feature columns, in order, and the entropy offset. ---
 CATEGORICAL = ["state", "zip_prefix", "employer_grouped", "occupation_grouped"]
@@ -92,10 +94,20 @@ def geographic_features(df: DataFrame) -> DataFrame:
     return df.withColumns({"zip_prefix": zip_prefix("zip_code"), "state": fill_unknown("state")})
 
 
-def top_categories(df: DataFrame, c, n=100) -> DataFrame:
-    """The ``n`` most frequent values; ties go to the first in alphabetical order."""
-    counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
-    return counts.orderBy(F.desc("_n"), c).limit(n).select(c)
+def top_categories(df: DataFrame, columns, n=100) -> DataFrame:
+    """The ``n`` most frequent values of each column, as rows (column, value).
+
+    Ties go to the first in alphabetical order. All columns are counted in one
+    pass, and ``n`` rows per column and task are ranked.
+    """
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    )
+    counts = (
+        df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.count("*").alias("n"))
+    )
+    return top_n_per_group(counts, n, "column", "n", "value").select("column", "value")
 
 
 def group_rare(df: DataFrame, c, top: DataFrame, out) -> DataFrame:
@@ -104,12 +116,11 @@ def group_rare(df: DataFrame, c, top: DataFrame, out) -> DataFrame:
     ``top`` comes from ``top_categories``, so the broadcast side has at most its
     ``n`` rows.
     """
-    kept = F.broadcast(top.select(F.col(c), F.lit(True).alias("_kept")))
-    return (
-        df.join(kept, c, "left")
-        .withColumn(out, F.when(F.col("_kept"), F.col(c)).otherwise("OTHER"))
-        .drop("_kept")
-    )
+    values = top.where(F.col("column") == c)
+    kept = F.broadcast(values.select(F.col("value").alias(c), F.lit(True).alias("_kept")))
+    grouped = F.when(F.col("_kept"), F.col(c)).otherwise("OTHER")
+    joined = df.join(kept, c, "left").withColumn(out, grouped)
+    return joined.drop("_kept")
 
 
 def clean_demographics(df: DataFrame) -> DataFrame:
@@ -122,20 +133,12 @@ def demographic_features(df: DataFrame, fit_on=None, top_n=100) -> DataFrame:
     """Employer and occupation with all but the ``top_n`` values of ``fit_on`` as OTHER."""
     df = clean_demographics(df)
     source = df if fit_on is None else clean_demographics(fit_on)
+    top = top_categories(source, ["employer", "occupation"], top_n)
     for c in ("employer", "occupation"):
-        df = group_rare(df, c, top_categories(source, c, top_n), f"{c}_grouped")
+        df = group_rare(df, c, top, f"{c}_grouped")
     return df
 
 
-def column_medians(df: DataFrame, columns) -> DataFrame:
-    """Exact median of each column, as rows (feature, median)."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])
-    )
-    long = df.select(pairs.alias("p")).select("p.feature", "p.v")
-    return exact_median(long, "v", ["feature"])
-
-
 def impute_medians(df: DataFrame, medians: DataFrame, columns) -> DataFrame:
     """Null numbers become the median of their column; ``columns`` become doubles."""
     table = medians.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))))
@@ -212,8 +215,13 @@ def encoder(kind: FeatureSet, n_train) -> Pipeline:
 
 
 def prepare(train, val, test, kind: FeatureSet = FULL):
-    """(train, val, test) with a ``features`` vector, and the encoder fitted on train."""
-    frames = [feature_frame(df, train, kind) for df in (train, val, test)]
+    """(train, val, test) with a ``features`` vector, and the encoder fitted on train.
+
+    The feature rows are written out once: the encoder and every model fitted on
+    them read them many times.
+    """
+    train = cut_lineage(train)
+    frames = [cut_lineage(feature_frame(df, train, kind)) for df in (train, val, test)]
     model = encoder(kind, train.count()).fit(frames[0])
     return [model.transform(f) for f in frames], model
 

@@ -81,6 +81,15 @@ def exact_median(df: DataFrame, value, by=(), name="median") -> DataFrame:
     return exact_quantiles(df, value, [0.5], by).withColumnRenamed("q0", name)
 
 
+def column_medians(df: DataFrame, columns) -> DataFrame:
+    """Exact median of each column, as rows (feature, median), in one pass over ``df``."""
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])
+    )
+    long = df.select(pairs.alias("p")).select("p.feature", "p.v")
+    return exact_median(long, "v", ["feature"])
+
+
 def row_rank(df: DataFrame, by, value, name="rank") -> DataFrame:
     """0-based rank of each row by ``value``, which is unique within its group.
 

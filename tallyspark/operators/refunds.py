@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import date_diff, half_even, mean, refund_pct
-from .ranking import exact_median, exact_quantiles
+from ..session import one_row
+from .ranking import column_medians, exact_quantiles
 
 
 def donations_only(contributions):
@@ -105,15 +106,11 @@ def enrich(patterns: DataFrame, donors, committees, sample_size=50000) -> DataFr
     return top.join(d, "contributor_id", "left").join(c, "cmte_id", "left")
 
 
-def _only(df, name):
-    """A one-row, one-column frame as a column."""
-    return df.select(name).scalar()
-
-
 def refund_summary(patterns: DataFrame, contributions) -> DataFrame:
     """One row of 17 metrics.
 
-    Full refunds are those of at least 100 percent, so they include the excess
+    ``patterns`` is read several times: write it to a table (or cut its lineage)
+    before when it comes from a large ledger. Full refunds are those of at least 100 percent, so they include the excess
     ones. The medians are exact.
     """
     pct = F.col("refund_pct")
@@ -135,13 +132,22 @@ def refund_summary(patterns: DataFrame, contributions) -> DataFrame:
     positive = contributions.where(F.col("transaction_amt") > 0).agg(
         F.count("*").alias("n"), F.sum("transaction_amt").alias("s")
     )
-    return stats.withColumns(
-        {
-            "median_donated": _only(exact_median(patterns, "total_donated"), "median"),
-            "median_refunded": _only(exact_median(patterns, "total_refunded"), "median"),
-            "total_contribution_count": _only(positive, "n"),
-            "total_contribution_amount": F.coalesce(_only(positive, "s"), F.lit(0)),
-        }
+    medians = column_medians(patterns, ["total_donated", "total_refunded"])
+
+    def median(c):
+        return F.max(F.when(F.col("feature") == c, F.col("median")))
+
+    both = medians.agg(
+        median("total_donated").alias("median_donated"), median("total_refunded").alias("median_refunded")
+    )
+    return (
+        stats.withColumns({"_m": one_row(both), "_p": one_row(positive)})
+        .select(
+            *stats.columns,
+            "_m.*",
+            F.col("_p.n").alias("total_contribution_count"),
+            F.coalesce("_p.s", F.lit(0)).alias("total_contribution_amount"),
+        )
     )
 
 
@@ -206,13 +212,11 @@ def refund_timing(patterns: DataFrame) -> DataFrame:
         F.min(days).alias("min_days_to_refund"),
         F.max(days).alias("max_days_to_refund"),
         *[F.count_if(days <= d).alias(f"refunds_within_{d}_days") for d in (30, 90, 180, 365)],
-    ).withColumn("median_days_to_refund", _only(median, "q0"))
+    ).withColumn("median_days_to_refund", median.scalar())
 
 
 def refund_report(summary: DataFrame, timing: DataFrame) -> DataFrame:
     """Summary and timing in one row, with refunds as a share of all contributions."""
     share = F.col("total_refunded").cast("double") / F.col("total_contribution_amount").cast("double")
     row = summary.withColumn("refunds_pct_of_total", share * 100)
-    for c in timing.columns:
-        row = row.withColumn(c, _only(timing, c))
-    return row
+    return row.withColumn("_t", one_row(timing)).select(*row.columns, "_t.*")

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ..operators import explore as ex
 from ..operators import profile, refunds, resolve, totals
+from ..session import cut_lineage
 from . import frames
 from .ledger import AS_OF, Ledger
 
@@ -237,7 +238,7 @@ def enriched_refunds(g):
 
 @query
 def refund_summary(g):
-    return refunds.refund_summary(_patterns(g), g.contributions)
+    return refunds.refund_summary(cut_lineage(_patterns(g)), g.contributions)
 
 
 @query
@@ -262,7 +263,7 @@ def refund_timing(g):
 
 @query
 def refund_report(g):
-    patterns = _patterns(g)
+    patterns = cut_lineage(_patterns(g))
     summary = refunds.refund_summary(patterns, g.contributions)
     return refunds.refund_report(summary, refunds.refund_timing(patterns))
 

@@ -95,7 +95,7 @@ def feature_medians(g):
 @query
 def imputed_features(g):
     """Features of the last years' donors, filled with the medians of the others."""
-    rows = splits.with_valid_year(g.donors)
+    rows = cut_lineage(splits.with_valid_year(g.donors))
     train, rest = rows.where("last_donation_year <= 2000"), rows.where("last_donation_year > 2000")
     _, numeric = features.feature_columns()
     return features.feature_frame(rest, train).select("id", *features.CATEGORICAL, *numeric)
@@ -170,7 +170,7 @@ def likelihood_sampled_frame(g):
 
 @query
 def likelihood_model_frame(g):
-    rows = _training(g)
+    rows = cut_lineage(_training(g))
     train = rows.where(F.col("contributor_id") % 5 != 0)
     test = rows.where(F.col("contributor_id") % 5 == 0)
     return likelihood.model_frame(test, train, top_n=50).select(
@@ -420,8 +420,8 @@ def _cluster_knn(g):
     return knn.knn_within_clusters(e, e, "label", 5, "vec_id", "embedding", exclude_self=True)
 
 
-query(_exact_knn, "exact_knn", digits=6)
-query(_cluster_knn, "knn_within_clusters", digits=6)
+query(_exact_knn, "exact_knn", digits=8)
+query(_cluster_knn, "knn_within_clusters", digits=8)
 
 
 @query
@@ -509,7 +509,7 @@ def amount_model_comparison(g):
 def _likelihood_sets(g):
     rows = cut_lineage(_training(g))
     train, test = splits.shuffled_split(rows, ["contributor_id", "cmte_id"])
-    encoded = [likelihood.model_frame(df, train) for df in (train, test)]
+    encoded = [cut_lineage(likelihood.model_frame(df, train)) for df in (train, test)]
     scaler = models.likelihood_scaler(train.count()).fit(encoded[0])
     return train, scaler, [scaler.transform(df) for df in encoded]
 
@@ -529,7 +529,7 @@ def likelihood_importance(g):
 
 @query
 def scored_pairs(g):
-    """Every committee of the first donor's state, scored for all repeat pairs and some without history."""
+    """All labelled pairs and as many without any history."""
     raw, scaler, (train, _) = _likelihood_sets(g)
     forest, boosted = models.likelihood_models(train, trees=20, boosted_trees=5)
     known = likelihood.label_pairs(g.totals, CUTOFF).select(*likelihood.PAIR)

@@ -490,7 +490,7 @@ def _nearest(where, k):
   QUALIFY row_number() OVER (PARTITION BY q ORDER BY d, nb) <= {k})"""
 
 
-_NEIGHBOR = f"q AS query_id, nb AS neighbor_id, {num('d', 'distance', 6)}, rank"
+_NEIGHBOR = f"q AS query_id, nb AS neighbor_id, {num('d', 'distance', 8)}, rank"
 SQL["exact_knn"] = f"WITH {_UNIT} SELECT {_NEIGHBOR} FROM {_nearest('true', 20)}"
 SQL["knn_within_clusters"] = (
     f"WITH {_UNIT}, big AS (SELECT label FROM embeddings GROUP BY label HAVING count(*) >= 10) "
