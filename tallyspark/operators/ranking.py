@@ -6,29 +6,35 @@ are windowed apart from each other and shifted by the sums of the slices before
 them. The cuts only balance the work: the result is exact wherever they fall.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# A power of two.
 SLICES = 256
 
 
-def running_sums(df: DataFrame, by, value, sums, slices=SLICES) -> DataFrame:
-    """Add ``<c>_before`` and ``<c>_total`` for every column c of ``sums``.
-
-    ``df`` has one row per group and ``value`` (pre-aggregated, so a hot value is
-    one row) and no null among them. ``_before`` adds the rows of lower value in
-    the group and ``_total`` all its rows.
-    """
+def _sliced(df: DataFrame, by, value, sums, slices=SLICES):
+    """``df`` with its slice number, and per slice the sums before it and in the group."""
     by = list(by)
     fractions = [i / slices for i in range(1, slices)]
     cuts = F.percentile_approx(value, fractions, 10 * slices).alias("_cuts")
+    # Naming the summed columns here keeps them in this branch of the plan, so that
+    # it reads the same shuffle as the others instead of computing ``df`` again.
+    counted = df.where(sum(F.col(c) for c in sums) > 0)
     if by:
-        cut = df.join(df.groupBy(*by).agg(cuts), by)
+        cut = df.join(counted.groupBy(*by).agg(cuts), by)
     else:
-        cut = df.withColumn("_cuts", df.agg(cuts).scalar())
-    sliced = cut.withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
+        cut = df.withColumn("_cuts", counted.agg(cuts).scalar())
+    # The number of cuts below the value, by halving steps.
+    steps = F.array(*[F.lit(slices >> i) for i in range(1, slices.bit_length())])
+    place = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get("_cuts", at + step - 1) < F.col(value), at + step).otherwise(at),
+    )
+    sliced = cut.withColumn("_slice", place).drop("_cuts")
     # At most ``slices`` rows per group reach these two windows.
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -37,8 +43,14 @@ def running_sums(df: DataFrame, by, value, sums, slices=SLICES) -> DataFrame:
         *by,
         "_slice",
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_offset") for c in sums],
+        *[F.col(c).alias(f"_{c}_inside") for c in sums],
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
     )
+    return sliced, offsets
+
+
+def _shifted(sliced, offsets, by, value, sums):
+    """Running sums inside the slices of ``offsets``, shifted by those before."""
     inside = (
         Window.partitionBy(*by, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -47,33 +59,51 @@ def running_sums(df: DataFrame, by, value, sums, slices=SLICES) -> DataFrame:
         out = out.withColumn(
             f"{c}_before", F.col(f"_{c}_offset") + F.coalesce(F.sum(c).over(inside), F.lit(0))
         )
-    return out.drop("_slice", *[f"_{c}_offset" for c in sums])
+    return out.drop("_slice", *[f"_{c}_{x}" for c in sums for x in ("offset", "inside")])
+
+
+def running_sums(df: DataFrame, by, value, sums, slices=SLICES) -> DataFrame:
+    """Add ``<c>_before`` and ``<c>_total`` for every column c of ``sums``.
+
+    ``df`` has one row per group and ``value`` (pre-aggregated, so a hot value is
+    one row) and no null among them. ``_before`` adds the rows of lower value in
+    the group and ``_total`` all its rows. Nothing in ``sums`` is negative.
+    """
+    by = list(by)
+    sliced, offsets = _sliced(df, by, value, sums, slices)
+    return _shifted(sliced, offsets, by, value, sums)
 
 
 def exact_quantiles(df: DataFrame, value, probabilities, by=()) -> DataFrame:
     """Interpolated quantiles per group: one double column ``q<i>`` per probability.
 
     Nulls are left out. The position is p * (n - 1) and the result lies between
-    the two values around it.
+    the two values around it. Only the slices that hold such a value are sorted.
     """
+    by = list(by)
     rows = df.where(F.col(value).isNotNull())
     counts = rows.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
         F.count("*").alias("_n")
     )
-    ranked = running_sums(counts, by, "_v", ["_n"])
+
+    def position(p):
+        return F.lit(float(p)) * (F.col("_n_total") - 1)
+
+    indices = [f(position(p)) for p in probabilities for f in (F.floor, F.ceil)]
+    sliced, offsets = _sliced(counts, by, "_v", ["_n"])
+    end = F.col("__n_offset") + F.col("__n_inside")
+    held = [(F.col("__n_offset") <= i) & (i < end) for i in indices]
+    ranked = _shifted(sliced, offsets.where(reduce(lambda a, b: a | b, held)), by, "_v", ["_n"])
     after = F.col("_n_before") + F.col("_n")
-    columns = []
-    for p in probabilities:
-        position = F.lit(float(p)) * (F.col("_n_total") - 1)
-        for name, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            columns.append(F.min(F.when(after > index, F.col("_v"))).alias(f"_{name}{len(columns) // 2}"))
-    picked = ranked.groupBy(*by).agg(F.max("_n_total").alias("_n_total"), *columns)
+    picked = ranked.groupBy(*by).agg(
+        F.max("_n_total").alias("_n_total"),
+        *[F.min(F.when(after > i, F.col("_v"))).alias(f"_at{k}") for k, i in enumerate(indices)],
+    )
     out = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("_n_total") - 1)
-        part = position - F.floor(position)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((lo + (hi - lo) * part).alias(f"q{i}"))
+    for k, p in enumerate(probabilities):
+        lo, hi = F.col(f"_at{2 * k}"), F.col(f"_at{2 * k + 1}")
+        part = position(p) - F.floor(position(p))
+        out.append((lo + (hi - lo) * part).alias(f"q{k}"))
     return picked.select(*by, *out)
 
 

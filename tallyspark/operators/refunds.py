@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import date_diff, half_even, mean, refund_pct
+from ..functions.scalars import date_diff, from_cents, half_even, mean, refund_pct, to_cents
 from ..session import one_row
 from .ranking import column_medians, exact_quantiles
 
@@ -52,31 +52,51 @@ def cross_year_refunds(contributions, year_gap=1) -> DataFrame:
     meet in one grouping: one scan and one map-side combined shuffle give what
     two groupings and a join would.
     """
-    amount, day = F.col("transaction_amt"), F.col("transaction_dt")
-    gift, refund = amount > 0, amount < 0
-    rows = contributions.where(
-        F.col("contributor_id").isNotNull()
-        & F.col("cmte_id").isNotNull()
-        & day.isNotNull()
-        & (amount != 0)
+    day, cents = F.col("transaction_dt"), F.col("_cents")
+    gift, refund = cents > 0, cents < 0
+    # Plain columns for the aggregation: each is null where its row does not count.
+    rows = contributions.select(
+        "contributor_id", "cmte_id", "transaction_dt",
+        F.when(day.isNotNull(), to_cents("transaction_amt")).alias("_cents"),
+    ).select(
+        "contributor_id",
+        "cmte_id",
+        F.when(refund, F.year(day) - year_gap).otherwise(F.year(day)).alias("donation_year"),
+        F.when(gift, cents).alias("_given"),
+        F.when(gift, day).alias("_given_on"),
+        F.when(refund, -cents).alias("_back"),
+        F.when(refund, day).alias("_back_on"),
+    )
+    grouped = rows.groupBy("contributor_id", "cmte_id", "donation_year").agg(
+        F.count("_given").alias("donation_count"),
+        F.sum("_given").alias("_donated"),
+        F.min("_given_on").alias("first_donation"),
+        F.max("_given_on").alias("last_donation"),
+        F.count("_back").alias("refund_count"),
+        F.sum("_back").alias("_refunded"),
+        F.min("_back_on").alias("first_refund"),
+        F.max("_back_on").alias("last_refund"),
     )
-    year = F.when(gift, F.year(day)).otherwise(F.year(day) - year_gap)
-    grouped = rows.groupBy("contributor_id", "cmte_id", year.alias("donation_year")).agg(
-        F.count_if(gift).alias("donation_count"),
-        F.sum(F.when(gift, amount)).alias("total_donated"),
-        F.min(F.when(gift, day)).alias("first_donation"),
-        F.max(F.when(gift, day)).alias("last_donation"),
-        F.count_if(refund).alias("refund_count"),
-        F.sum(F.when(refund, -amount)).alias("total_refunded"),
-        F.min(F.when(refund, day)).alias("first_refund"),
-        F.max(F.when(refund, day)).alias("last_refund"),
+    matched = grouped.where(
+        (F.col("donation_count") > 0)
+        & (F.col("refund_count") > 0)
+        & F.col("contributor_id").isNotNull()
+        & F.col("cmte_id").isNotNull()
     )
-    both = grouped.where((F.col("donation_count") > 0) & (F.col("refund_count") > 0))
-    return both.withColumns(
-        {
-            "refund_year": F.col("donation_year") + year_gap,
-            "refund_pct": refund_pct("total_refunded", "total_donated"),
-        }
+    return matched.select(
+        "contributor_id",
+        "cmte_id",
+        "donation_year",
+        (F.col("donation_year") + year_gap).alias("refund_year"),
+        "donation_count",
+        from_cents("_donated").alias("total_donated"),
+        "first_donation",
+        "last_donation",
+        "refund_count",
+        from_cents("_refunded").alias("total_refunded"),
+        "first_refund",
+        "last_refund",
+        refund_pct("_refunded", "_donated").alias("refund_pct"),
     )
 
 

@@ -3,7 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import as_date, date_diff, has_flag, mean, within_years
+from ..functions.scalars import (
+    as_date,
+    date_diff,
+    from_cents,
+    has_flag,
+    to_cents,
+    within_years,
+)
+from ..session import broadcast_if_small
 
 
 def committee_summary(committees, links, candidates) -> DataFrame:
@@ -49,34 +57,48 @@ def donor_totals(contributions, committees, links, candidates, as_of) -> DataFra
     when all gifts fall on one day). The committee and candidate columns are
     joined after the aggregation.
     """
-    amount, day = F.col("transaction_amt"), F.col("transaction_dt")
-    one, two = within_years(day, as_of, 1), within_years(day, as_of, 2)
-    primary, general = F.col("transaction_pgi") == "P", F.col("transaction_pgi") == "G"
-    # Days from a fixed day near the data keep the slope's sums small.
-    since = F.datediff(day, F.lit("2000-01-01").cast("date")).cast("double")
-
-    def amount_if(test):
-        return F.sum(F.when(test, amount).otherwise(0))
-
-    rows = contributions.where(F.col("cmte_id").isNotNull())
+    day, cents = F.col("transaction_dt"), F.col("_cents")
+    # Plain columns for the aggregation. Days from a fixed day near the data keep the
+    # sums behind the slope small.
+    rows = contributions.select(
+        "contributor_id", "cmte_id", "transaction_dt", "transaction_pgi",
+        to_cents("transaction_amt").alias("_cents"),
+    )
+    tests = {
+        "last_1year": within_years(day, as_of, 1),
+        "last_2years": within_years(day, as_of, 2),
+        "primary": F.col("transaction_pgi") == "P",
+        "general": F.col("transaction_pgi") == "G",
+    }
+    rows = rows.select(
+        "contributor_id", "cmte_id", "transaction_dt", "_cents",
+        (cents / 100.0).alias("_amount"),
+        F.datediff(day, F.lit("2000-01-01").cast("date")).cast("double").alias("_day"),
+        *[F.when(test, 1).otherwise(0).alias(f"_n_{name}") for name, test in tests.items()],
+        *[F.when(test, cents).otherwise(0).alias(f"_cents_{name}") for name, test in tests.items()],
+    )
     sums = rows.groupBy("contributor_id", "cmte_id").agg(
         F.count("*").alias("total_donations"),
-        F.sum(amount).alias("total_amount"),
-        mean(amount).alias("avg_amount"),
-        F.min(amount).alias("min_amount"),
-        F.max(amount).alias("max_amount"),
-        F.stddev_pop(amount.cast("double")).alias("stddev_amount"),
-        F.min(day).alias("first_donation_date"),
-        F.max(day).alias("last_donation_date"),
-        F.count_if(one).alias("donations_last_1year"),
-        amount_if(one).alias("amount_last_1year"),
-        F.count_if(two).alias("donations_last_2years"),
-        amount_if(two).alias("amount_last_2years"),
-        F.count_if(primary).alias("donations_primary"),
-        F.count_if(general).alias("donations_general"),
-        amount_if(primary).alias("amount_primary"),
-        amount_if(general).alias("amount_general"),
-        F.regr_slope(amount.cast("double"), since).alias("amount_trend"),
+        F.sum("_cents").alias("_sum"),
+        F.count("_cents").alias("_count"),
+        F.min("_cents").alias("_min"),
+        F.max("_cents").alias("_max"),
+        F.stddev_pop("_amount").alias("stddev_amount"),
+        F.min("transaction_dt").alias("first_donation_date"),
+        F.max("transaction_dt").alias("last_donation_date"),
+        F.regr_slope("_amount", "_day").alias("amount_trend"),
+        *[F.sum(f"_n_{name}").alias(f"donations_{name}") for name in tests],
+        *[F.sum(f"_cents_{name}").alias(f"_sum_{name}") for name in tests],
+    ).where(F.col("cmte_id").isNotNull())
+    plain = ["contributor_id", "cmte_id", "total_donations", "stddev_amount", "first_donation_date",
+             "last_donation_date", "amount_trend", *[f"donations_{name}" for name in tests]]
+    sums = sums.select(
+        *plain,
+        from_cents("_sum").alias("total_amount"),
+        (F.col("_sum") / 100.0 / F.nullif(F.col("_count"), F.lit(0))).alias("avg_amount"),
+        from_cents("_min").alias("min_amount"),
+        from_cents("_max").alias("max_amount"),
+        *[from_cents(f"_sum_{name}").alias(f"amount_{name}") for name in tests],
     )
     span = date_diff("last_donation_date", "first_donation_date")
     sums = sums.withColumns(
@@ -96,7 +118,7 @@ def donor_totals(contributions, committees, links, candidates, as_of) -> DataFra
         F.col("cmte_st").alias("cmte_state"),
     )
     dims = cm.join(committee_candidate(links, candidates), "cmte_id", "left")
-    return sums.join(dims, "cmte_id", "left")
+    return sums.join(broadcast_if_small(dims, committees), "cmte_id", "left")
 
 
 CANDIDATE_COLUMNS = [

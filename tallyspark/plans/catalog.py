@@ -152,7 +152,7 @@ def donor_profile_dedup(g):
 
 @query
 def updated_donors(g):
-    return g.donors
+    return profile.update_donors(g.identities, g.profile)
 
 
 @query

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from ..operators import profile, totals
+from ..session import stored
 
 AS_OF = "2001-12-31"
 CUTOFF = "1999-01-01"
@@ -139,7 +140,8 @@ class Ledger:
 
     @cached_property
     def donors(self):
-        return profile.update_donors(self.identities, self.profile)
+        """The donor table: written once per session, as many queries start from it."""
+        return stored(profile.update_donors(self.identities, self.profile), "donors")
 
     @cached_property
     def totals(self):

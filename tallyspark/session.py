@@ -1,6 +1,7 @@
 """Session settings and lineage cutting."""
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,16 +53,20 @@ def shared_dir(spark):
     return made
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and carry on from there.
+def stored(df: DataFrame, name) -> DataFrame:
+    """``df`` written once to a new Parquet table in the shared folder, and read from there.
 
-    Used where a frame feeds an iterative fit: the files outlive the executors
-    that wrote them.
+    For a table that many jobs read. Its files outlive the executors that wrote
+    them, and the scan keeps column pruning and filter pushdown.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/tables-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a stored table of no particular name."""
+    return stored(df, "rows")
 
 
 def one_row(df: DataFrame, name="row"):
