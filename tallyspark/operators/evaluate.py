@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import simplify_party
+from ..session import union_all
 from .ranking import running_sums
 
 # --- Fixed values. ---
@@ -89,9 +90,11 @@ def _score_counts(df, label, score, by=()):
 def roc_auc(df: DataFrame, label, score, by=()) -> DataFrame:
     """Exact area under the ROC curve; tied scores count half.
 
-    Null when a group has one class only.
+    Null when a group has one class only. ``by`` is a column of few values, such
+    as the class.
     """
-    ranked = running_sums(_score_counts(df, label, score, by), by, "score", ["pos", "neg"])
+    counts = _score_counts(df, label, score, by)
+    ranked = running_sums(counts, by, "score", ["pos", "neg"], few_groups=True)
     area = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total")
     return ranked.groupBy(*by).agg(
@@ -223,3 +226,23 @@ def party_amount_metrics(df: DataFrame, predicted_prefix="pred_") -> DataFrame:
         ])
     )
     return regression_metrics(rows.select(long.alias("e")).select("e.*"), "t", "p", ["party"])
+
+
+def compare_models(predictions, truth="primary_party", predicted="predicted") -> DataFrame:
+    """One row per model: accuracy and weighted metrics over DEM, REP and OTHER.
+
+    ``predictions`` maps the model's name to its predicted rows.
+    """
+    tables = []
+    for name, df in predictions.items():
+        three = df.select(simplify_party(truth).alias("t"), simplify_party(predicted).alias("p"))
+        tables.append(weighted_metrics(three, "t", "p").select(F.lit(name).alias("model_name"), "*"))
+    return union_all(tables)
+
+
+def compare_amounts(predictions, predicted_prefix="pred_") -> DataFrame:
+    """One row per model and party with the regression metrics of the amounts."""
+    return union_all([
+        party_amount_metrics(df, predicted_prefix).select(F.lit(name).alias("model_name"), "*")
+        for name, df in predictions.items()
+    ])

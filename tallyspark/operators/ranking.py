@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 SLICES = 256
 
 
-def _sliced(df: DataFrame, by, value, sums, slices=SLICES):
-    """``df`` with its slice number, and per slice the sums before it and in the group."""
+def _sliced(df: DataFrame, by, value, sums, few_groups, slices=SLICES):
+    """``df`` with its slice number, and per slice the sums before it and in the group.
+
+    Without groups, or with ``few_groups``, the cuts and the slice sums are small
+    by construction (``slices`` numbers per group) and are broadcast, so that no
+    row is shuffled by its group alone.
+    """
+    small = F.broadcast if few_groups or not by else (lambda x: x)
     by = list(by)
     fractions = [i / slices for i in range(1, slices)]
     cuts = F.percentile_approx(value, fractions, 10 * slices).alias("_cuts")
@@ -24,7 +30,7 @@ def _sliced(df: DataFrame, by, value, sums, slices=SLICES):
     # it reads the same shuffle as the others instead of computing ``df`` again.
     counted = df.where(sum(F.col(c) for c in sums) > 0)
     if by:
-        cut = df.join(counted.groupBy(*by).agg(cuts), by)
+        cut = df.join(small(counted.groupBy(*by).agg(cuts)), by)
     else:
         cut = df.withColumn("_cuts", counted.agg(cuts).scalar())
     # The number of cuts below the value, by halving steps.
@@ -46,7 +52,7 @@ def _sliced(df: DataFrame, by, value, sums, slices=SLICES):
         *[F.col(c).alias(f"_{c}_inside") for c in sums],
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
     )
-    return sliced, offsets
+    return sliced, small(offsets)
 
 
 def _shifted(sliced, offsets, by, value, sums):
@@ -62,19 +68,20 @@ def _shifted(sliced, offsets, by, value, sums):
     return out.drop("_slice", *[f"_{c}_{x}" for c in sums for x in ("offset", "inside")])
 
 
-def running_sums(df: DataFrame, by, value, sums, slices=SLICES) -> DataFrame:
+def running_sums(df: DataFrame, by, value, sums, few_groups=False, slices=SLICES) -> DataFrame:
     """Add ``<c>_before`` and ``<c>_total`` for every column c of ``sums``.
 
     ``df`` has one row per group and ``value`` (pre-aggregated, so a hot value is
     one row) and no null among them. ``_before`` adds the rows of lower value in
-    the group and ``_total`` all its rows. Nothing in ``sums`` is negative.
+    the group and ``_total`` all its rows. Nothing in ``sums`` is negative. Set
+    ``few_groups`` when the groups are a small fixed set (columns, classes).
     """
     by = list(by)
-    sliced, offsets = _sliced(df, by, value, sums, slices)
+    sliced, offsets = _sliced(df, by, value, sums, few_groups, slices)
     return _shifted(sliced, offsets, by, value, sums)
 
 
-def exact_quantiles(df: DataFrame, value, probabilities, by=()) -> DataFrame:
+def exact_quantiles(df: DataFrame, value, probabilities, by=(), few_groups=False) -> DataFrame:
     """Interpolated quantiles per group: one double column ``q<i>`` per probability.
 
     Nulls are left out. The position is p * (n - 1) and the result lies between
@@ -90,10 +97,13 @@ def exact_quantiles(df: DataFrame, value, probabilities, by=()) -> DataFrame:
         return F.lit(float(p)) * (F.col("_n_total") - 1)
 
     indices = [f(position(p)) for p in probabilities for f in (F.floor, F.ceil)]
-    sliced, offsets = _sliced(counts, by, "_v", ["_n"])
+    sliced, offsets = _sliced(counts, by, "_v", ["_n"], few_groups)
     end = F.col("__n_offset") + F.col("__n_inside")
     held = [(F.col("__n_offset") <= i) & (i < end) for i in indices]
-    ranked = _shifted(sliced, offsets.where(reduce(lambda a, b: a | b, held)), by, "_v", ["_n"])
+    holding = offsets.where(reduce(lambda a, b: a | b, held))
+    if few_groups or not by:
+        holding = F.broadcast(holding)
+    ranked = _shifted(sliced, holding, by, "_v", ["_n"])
     after = F.col("_n_before") + F.col("_n")
     picked = ranked.groupBy(*by).agg(
         F.max("_n_total").alias("_n_total"),
@@ -107,8 +117,8 @@ def exact_quantiles(df: DataFrame, value, probabilities, by=()) -> DataFrame:
     return picked.select(*by, *out)
 
 
-def exact_median(df: DataFrame, value, by=(), name="median") -> DataFrame:
-    return exact_quantiles(df, value, [0.5], by).withColumnRenamed("q0", name)
+def exact_median(df: DataFrame, value, by=(), name="median", few_groups=False) -> DataFrame:
+    return exact_quantiles(df, value, [0.5], by, few_groups).withColumnRenamed("q0", name)
 
 
 def column_medians(df: DataFrame, columns) -> DataFrame:
@@ -117,15 +127,15 @@ def column_medians(df: DataFrame, columns) -> DataFrame:
         F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])
     )
     long = df.select(pairs.alias("p")).select("p.feature", "p.v")
-    return exact_median(long, "v", ["feature"])
+    return exact_median(long, "v", ["feature"], few_groups=True)
 
 
-def row_rank(df: DataFrame, by, value, name="rank") -> DataFrame:
+def row_rank(df: DataFrame, by, value, name="rank", few_groups=False) -> DataFrame:
     """0-based rank of each row by ``value``, which is unique within its group.
 
     ``<name>_of`` is the number of rows in the group.
     """
-    ranked = running_sums(df.withColumn("_one", F.lit(1)), by, value, ["_one"])
+    ranked = running_sums(df.withColumn("_one", F.lit(1)), by, value, ["_one"], few_groups)
     return ranked.withColumnRenamed("_one_before", name).withColumnRenamed(
         "_one_total", f"{name}_of"
     ).drop("_one")

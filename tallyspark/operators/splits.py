@@ -37,6 +37,8 @@ def shuffled_rank(df: DataFrame, key, seed, by=(), at_most=None) -> DataFrame:
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(whole).alias("rank_of"),
     )
+    if not by:
+        offsets = F.broadcast(offsets)  # 4096 rows
     placed = rows.join(offsets, [*by, "_slice"])
     if at_most is not None:
         placed = placed.where(F.col("_offset") < at_most)
@@ -59,7 +61,8 @@ def spread_sample(df: DataFrame, n, id_col="id", chunks=10) -> DataFrame:
     steps = (F.col(id_col) - F.col("_span.lo")) * chunks + (chunks - 1)
     chunk = F.least(F.floor(steps / width), F.lit(chunks - 1))
     ranked = row_rank(
-        df.withColumn("_span", span).withColumn("_chunk", chunk).drop("_span"), ["_chunk"], id_col
+        df.withColumn("_span", span).withColumn("_chunk", chunk).drop("_span"), ["_chunk"], id_col,
+        few_groups=True,
     )
     return ranked.where(F.col("rank") < n // chunks).select(*df.columns)
 

@@ -294,7 +294,7 @@ def residual_histogram(g):
 def amount_percentiles(g):
     from ..operators.ranking import exact_quantiles
 
-    return exact_quantiles(scored_lines(g), "score", [0.05, 0.5, 0.95], ["label"])
+    return exact_quantiles(scored_lines(g), "score", [0.05, 0.5, 0.95], ["label"], few_groups=True)
 
 
 @query
@@ -307,6 +307,25 @@ def party_amount_metrics(g):
     return evaluate.party_amount_metrics(predicted_donors(g))
 
 
+def _two_models(g):
+    """The stand-in predictions and a model that always answers DEM and no amount."""
+    rows = predicted_donors(g)
+    always = rows.withColumn("predicted", F.lit("DEM")).withColumns(
+        {f"pred_{p.lower()}_amount": F.lit(0.0) for p in PARTIES}
+    )
+    return {"Supervised": rows, "Always DEM": always}
+
+
+@query
+def model_comparison(g):
+    return evaluate.compare_models(_two_models(g))
+
+
+@query
+def amount_comparison(g):
+    return evaluate.compare_amounts(_two_models(g))
+
+
 @query
 def other_group_amounts(g):
     return evaluate.other_group_amounts(g.donors).select("id", "other_group")

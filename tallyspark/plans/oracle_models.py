@@ -387,6 +387,33 @@ long AS (SELECT 'DEM' AS party, CAST(dem_amount AS DOUBLE) AS y, pred_dem_amount
   UNION ALL SELECT 'OTHER', CAST({" + ".join(f"{p}_amount" for p in _REST)} AS DOUBLE),
     {" + ".join(f"pred_{p}_amount" for p in _REST)} FROM pred)""",
 )
+_THREE = "CASE WHEN {0} IN ('DEM', 'REP') THEN {0} ELSE 'OTHER' END"
+
+
+def _model_row(name, predicted):
+    source = f"(SELECT {_THREE.format('primary_party')} AS t, {predicted} AS p FROM pred)"
+    views = _class_views(source, "t", "p").strip()
+    return (
+        f"SELECT '{name}' AS model_name, {num('sum(tp) / sum(support)', 'accuracy')}, "
+        + ", ".join(num(f"sum({m} * support) / sum(support)", f"{m}_weighted") for m in ("precision", "recall", "f1"))
+        + f" FROM (WITH {views} SELECT * FROM scores)"
+    )
+
+
+SQL["model_comparison"] = with_views(
+    _model_row("Supervised", _THREE.format("predicted")) + " UNION ALL " + _model_row("Always DEM", "'DEM'"), _PRED
+)
+_LONG = """SELECT '{name}' AS model_name, 'DEM' AS party, CAST(dem_amount AS DOUBLE) AS y, {dem} AS p FROM pred
+  UNION ALL SELECT '{name}', 'REP', CAST(rep_amount AS DOUBLE), {rep} FROM pred
+  UNION ALL SELECT '{name}', 'OTHER', CAST({true} AS DOUBLE), {other} FROM pred"""
+_TRUE = " + ".join(f"{p}_amount" for p in _REST)
+SQL["amount_comparison"] = with_views(
+    f"SELECT model_name, party, {_regression('y', 'p')} FROM long GROUP BY model_name, party",
+    _PRED + ",\nlong AS ("
+    + _LONG.format(name="Supervised", dem="pred_dem_amount", rep="pred_rep_amount", true=_TRUE,
+                   other=" + ".join(f"pred_{p}_amount" for p in _REST))
+    + " UNION ALL " + _LONG.format(name="Always DEM", dem="0.0", rep="0.0", true=_TRUE, other="0.0") + ")",
+)
 SQL["other_group_amounts"] = with_views(
     f"SELECT id, {num(' + '.join(f'{p}_amount' for p in _REST), 'other_group')} FROM donors"
 )

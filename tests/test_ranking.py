@@ -25,16 +25,18 @@ def test_quantiles(skewed, q):
 
 def test_grouped_quantiles(skewed):
     df, rows = skewed
-    got = {r["g"]: (r["q0"], r["q1"]) for r in ranking.exact_quantiles(df, "v", [0.5, 0.9], ["g"]).collect()}
-    for g in ("big", "small"):
-        values = [v for _, h, v in rows if h == g and v is not None]
-        assert got[g] == pytest.approx(tuple(np.quantile(values, [0.5, 0.9])))
+    for few in (False, True):
+        found = ranking.exact_quantiles(df, "v", [0.5, 0.9], ["g"], few).collect()
+        got = {r["g"]: (r["q0"], r["q1"]) for r in found}
+        for g in ("big", "small"):
+            values = [v for _, h, v in rows if h == g and v is not None]
+            assert got[g] == pytest.approx(tuple(np.quantile(values, [0.5, 0.9])))
 
 
 def test_running_sums_wherever_the_cuts_fall(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"), (F.col("id") % 4).alias("n"))
     for slices in (2, 8, 256):
-        rows = ranking.running_sums(df, [], "v", ["n"], slices).orderBy("v").collect()
+        rows = ranking.running_sums(df, [], "v", ["n"], slices=slices).orderBy("v").collect()
         total = 0
         for r in rows:
             assert r["n_before"] == total and r["n_total"] == 1500
