@@ -2,7 +2,7 @@
 
 import tempfile
 import uuid
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +48,12 @@ def shared_dir(spark):
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="tallyspark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _own_folder(application):
+    return tempfile.mkdtemp(prefix="tallyspark-")
 
 
 def stored(df: DataFrame, name) -> DataFrame:
