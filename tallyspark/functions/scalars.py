@@ -261,8 +261,8 @@ def l2_normalize(c) -> Column:
 
 
 def to_cents(c) -> Column:
-    """A two-decimal amount as whole cents."""
-    return (_col(c) * 100).cast("bigint")
+    """An amount, taken as the ledger's decimal(14,2), as whole cents."""
+    return (_col(c).cast("decimal(14,2)") * 100).cast("bigint")
 
 
 def from_cents(c) -> Column:

@@ -93,6 +93,12 @@ def test_rounding(spark):
     assert got == [3, -3, 1, 0]
 
 
+def test_cents_of_binary_amounts(spark):
+    got = column(spark, "x double", [0.29, -1.15, 4.35, None], s.to_cents("x"))
+    assert got == [29, -115, 435, None]
+    assert column(spark, "c long", [-115, 0, None], s.from_cents("c")) == [Decimal("-1.15"), Decimal("0.00"), None]
+
+
 def test_clip_and_same_state(spark):
     assert column(spark, "x double", [250.0, -1.0, None], s.clip("x", 0.0, 200.0)) == [200.0, 0.0, None]
     assert column(spark, "a string, b string", [("A", "A"), ("A", "B"), (None, None)], s.same_state("a", "b")) == [1, 0, 0]
