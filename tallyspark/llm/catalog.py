@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tallyspark.llm import bpe, simhash
+from tallyspark.llm import bpe, chat, licences, simhash
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -38,3 +38,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file()))
+
+
+@query("op8_chat")
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.format_conversations(table(spark, sf_dir, "conversations")))
+
+
+SQL["op8_chat"] = chat.digest_sql()
+
+
+@query("op6_licences")
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(table(spark, sf_dir, "documents")))
+
+
+SQL["op6_licences"] = licences.digest_sql()
