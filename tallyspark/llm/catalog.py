@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tallyspark.llm import bpe, chat, licences, pages, simhash
+from tallyspark.llm import bpe, chat, lattice, licences, pages, simhash
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -59,3 +59,8 @@ SQL["op6_licences"] = licences.digest_sql()
 @query("op10_html")
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op9_lattice")
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
