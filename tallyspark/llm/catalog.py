@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tallyspark.llm import bpe, chat, lattice, licences, pages, simhash
+from tallyspark.llm import bpe, chat, lattice, licences, lines, pages, simhash
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -64,3 +64,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lattice")
 def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_lines")
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.dedupe_lines(table(spark, sf_dir, "documents")))
