@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tallyspark.llm import bpe, chat, lattice, licences, lines, pages, simhash
+from tallyspark.llm import bpe, chat, lattice, licences, lines, pages, simhash, templates
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -69,3 +69,8 @@ def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lines")
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.dedupe_lines(table(spark, sf_dir, "documents")))
+
+
+@query("op2_templates")
+def op2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
