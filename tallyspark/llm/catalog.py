@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tallyspark.llm import bpe, chat, lattice, licences, lines, pages, simhash, templates
+from tallyspark.llm import bpe, chat, lattice, licences, lines, pages, simhash, templates, toxicity
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -74,3 +74,8 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_templates")
 def op2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
