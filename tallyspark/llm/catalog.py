@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from tallyspark.llm import bpe, chat, lattice, licences, lines, pages, simhash, templates, toxicity
+from tallyspark.llm import bpe, chat, lattice, licences, lines, ngrams, pages, simhash, templates, toxicity
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -79,3 +79,8 @@ def op2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_ngrams")
+def op1_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(table(spark, sf_dir, "documents"))
