@@ -189,3 +189,20 @@ def _from(k):
 def digest(deduped: DataFrame) -> DataFrame:
     """The columns of the registered query."""
     return deduped.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "text")
+
+
+# Share of a text that must be repeated for the rest of it to go as well.
+REPEATED = 0.8
+
+
+def without_repeated(docs: DataFrame, ids="doc_id", text="text", length="n_chars") -> DataFrame:
+    """``docs`` without repeated lines, with its own columns; a column ``length`` is counted anew.
+
+    A document of which at least four fifths are removed was a copy, and goes as a whole. Null and empty texts stay.
+    """
+    before = F.length(F.col("_before"))
+    rest = dedupe_lines(docs.withColumn("_before", F.col(text)), ids, text)
+    rest = rest.where((F.size("removed") == 0) | (before - F.length(text) < REPEATED * before))
+    if length in docs.columns:
+        rest = rest.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
+    return rest.select(*docs.columns)

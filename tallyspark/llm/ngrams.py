@@ -32,7 +32,7 @@ from tallyspark.llm.texts import words_of
 from tallyspark.session import stored
 
 # Weights of the trigram and the bigram counts, and of the unigram.
-TRIGRAM, BIGRAM, UNIGRAM = 20.0, 1.0, 100.0
+TRIGRAM, BIGRAM, UNIGRAM = 100.0, 1.0, 1000.0
 # Base: added to every count.
 ADDED = 0.1
 HELD_OUT = 10

@@ -158,3 +158,17 @@ def near_duplicates(docs: DataFrame, ids="doc_id", text="text") -> DataFrame:
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named = labelled.join(least, "label").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, ids="doc_id", text="text") -> DataFrame:
+    """The rows of ``docs`` that stay if of each component only the document with the least id does.
+
+    Of rows that share an id one stays at most. Rows with a null id cannot be told apart and stay.
+    """
+    found = stored(near_duplicates(docs, ids, text), "components").where("doc_id is not null")
+    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"))
+    repeated = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    same = docs[ids] == F.col("_id")
+    left = docs.join(dropped, same, "left_anti")
+    once = left.join(repeated, left[ids] == repeated["_id"], "left_anti")
+    return once.unionByName(left.join(repeated, left[ids] == repeated["_id"], "left_semi").dropDuplicates([ids]))

@@ -145,3 +145,9 @@ def contaminated(
     )
     share = F.col("n_found") / F.col("n_windows")
     return found.where(share >= coverage).select("doc_id", "item_id", "n_windows", "n_found", share.alias("coverage"), "first_word")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, ids="doc_id", text="text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with the columns of ``docs``."""
+    found = contaminated(docs, items, ids, text).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(found, docs[ids].eqNullSafe(F.col("_id")), "left_anti")

@@ -15,6 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyspark.llm.texts import remainder
 from tallyspark.session import stored
@@ -160,21 +161,22 @@ def train(docs: DataFrame, labels: DataFrame, ids="doc_id", text="text", label="
     return dictionaries, fit_logistic(np.array(frame["x"].tolist()), frame["label"].to_numpy(dtype=np.float64))
 
 
-def score(docs: DataFrame, model, ids="doc_id", text="text") -> DataFrame:
-    """(doc_id, score) for every row: the chance that it is toxic."""
+def score(docs: DataFrame, model, text="text", name="score") -> DataFrame:
+    """``docs`` with its own columns and ``name``: the chance that a row is toxic."""
     dictionaries, weights = model
-    rows = docs.select(F.col(text).alias("text"), F.col(ids).cast("bigint").alias("doc_id"))
+    docs = docs.drop(name)
     if dictionaries is None:
-        return rows.select("doc_id", F.lit(float(1 / (1 + np.exp(-weights[0])))).alias("score"))
+        return docs.withColumn(name, F.lit(float(1 / (1 + np.exp(-weights[0])))))
+    place = docs.columns.index(text)
 
     def run(batches):
         distance = Distance(*dictionaries)
         for batch in batches:
-            x = np.array([features(t.as_py(), distance) for t in batch.column(0)]).reshape(batch.num_rows, -1)
+            x = np.array([features(t.as_py(), distance) for t in batch.column(place)]).reshape(batch.num_rows, -1)
             p = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30))) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, name])
 
-    return rows.mapInArrow(run, "doc_id bigint, score double")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, ids="doc_id", text="text", label="toxic", limit=TRAINING_ROWS) -> DataFrame:
@@ -184,7 +186,14 @@ def classify(docs: DataFrame, labels: DataFrame, ids="doc_id", text="text", labe
     each; an empty table gives an empty table. Without labelled rows of both classes the score is the share
     of toxic ones (0.01 without any rows). Other columns do not matter.
     """
-    scored = score(docs, train(docs, labels, ids, text, label, limit), ids, text)
+    rows = docs.select(F.col(ids).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    scored = score(rows, train(docs, labels, ids, text, label, limit))
     return scored.select(
         "doc_id", (remainder(F.col("doc_id"), HELD_OUT) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, ids="doc_id", text="text", label="toxic", limit=TRAINING_ROWS) -> DataFrame:
+    """The rows of ``docs`` that are not predicted to be toxic, with the columns of ``docs``."""
+    scored = score(docs, train(docs, labels, ids, text, label, limit), text, "_toxic")
+    return scored.where(F.col("_toxic") < 0.5).drop("_toxic")
