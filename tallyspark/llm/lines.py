@@ -16,6 +16,7 @@ All of it is DataFrame functions.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.llm.texts import unused
 from tallyspark.session import stored
 
 MIN_WORDS = 5
@@ -158,6 +159,26 @@ def removed_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORD
     return lines.select("doc_id", "pos").join(kept, same, "left_anti").distinct()
 
 
+def _with_rest(docs, ids, text, min_words):
+    """``docs`` with two columns of new names: the text without the removed lines, and their places."""
+    rest, gone, lines, key = (unused(docs, name) for name in ("rest", "gone", "lines", "removed_id"))
+    removed = removed_lines(docs, ids, text, min_words).groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list("pos")).alias(gone))
+    joined = docs.join(removed, docs[ids].eqNullSafe(F.col(key)), "left").drop(key)
+    joined = joined.withColumn(lines, F.split(F.col(text), "\n", -1))
+    # Rows that share an id may have fewer lines than others of it.
+    joined = joined.withColumn(gone, F.filter(F.coalesce(gone, F.array().cast("array<int>")), lambda p: p < F.size(lines)))
+
+    def begin(k):
+        return F.when(k == 0, F.lit(0)).otherwise(F.try_element_at(gone, F.greatest(k, F.lit(1))) + 1)
+
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.size(gone)),
+        lambda k: F.slice(lines, begin(k) + 1, F.coalesce(F.try_element_at(gone, k + 1), F.size(lines)) - begin(k)),
+    )
+    left = F.when(F.size(gone) > 0, F.array_join(F.flatten(stretches), "\n")).otherwise(F.col(text))
+    return joined.withColumn(rest, left).drop(lines), rest, gone
+
+
 def dedupe_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS) -> DataFrame:
     """``docs`` with its own columns, ``text`` without the removed lines, and n_lines, removed (places of removed lines).
 
@@ -166,24 +187,9 @@ def dedupe_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS
     with a null id comes before all others. Rows that share an id share their removed places. An
     empty table gives an empty table; columns named n_lines or removed are replaced.
     """
-    removed = removed_lines(docs, ids, text, min_words).groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("removed_pos"))
-    removed = removed.withColumnRenamed("doc_id", "removed_id")
-    gone, lines = F.coalesce("removed_pos", F.array().cast("array<int>")), F.split(F.col(text), "\n", -1)
-    rest = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size("_gone")),
-        lambda k: F.slice("_lines", _from(k) + 1, F.coalesce(F.try_element_at("_gone", k + 1), F.size("_lines")) - _from(k)),
-    ))
-    joined = docs.join(removed, F.col(ids).eqNullSafe(F.col("removed_id")), "left").withColumns({"_lines": lines, "_gone": F.filter(gone, lambda p: p < F.size(lines))})
-    return joined.withColumns({
-        text: F.when(F.size("_gone") > 0, F.array_join(rest, "\n")).otherwise(F.col(text)),
-        "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")).cast("long"),
-        "removed": F.col("_gone"),
-    }).drop("removed_pos", "removed_id", "_lines", "_gone")
-
-
-def _from(k):
-    """Where the k-th stretch of lines that stay begins."""
-    return F.when(k == 0, F.lit(0)).otherwise(F.try_element_at("_gone", F.greatest(k, F.lit(1))) + 1)
+    joined, rest, gone = _with_rest(docs.drop("n_lines", "removed"), ids, text, min_words)
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n", -1))).cast("long")
+    return joined.withColumns({"n_lines": n_lines, text: F.col(rest), "removed": F.col(gone)}).drop(rest, gone)
 
 
 def digest(deduped: DataFrame) -> DataFrame:
@@ -200,9 +206,10 @@ def without_repeated(docs: DataFrame, ids="doc_id", text="text", length="n_chars
 
     A document of which at least four fifths are removed was a copy, and goes as a whole. Null and empty texts stay.
     """
-    before = F.length(F.col("_before"))
-    rest = dedupe_lines(docs.withColumn("_before", F.col(text)), ids, text)
-    rest = rest.where((F.size("removed") == 0) | (before - F.length(text) < REPEATED * before))
+    joined, rest, gone = _with_rest(docs, ids, text, MIN_WORDS)
+    before, after = F.length(text), F.length(rest)
+    kept = joined.where((F.size(gone) == 0) | (before - after < REPEATED * before))
+    columns = {text: F.col(rest)}
     if length in docs.columns:
-        rest = rest.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return rest.select(*docs.columns)
+        columns[length] = F.length(rest).cast(docs.schema[length].dataType)
+    return kept.withColumns(columns).select(*docs.columns)

@@ -207,6 +207,9 @@ def build_trie(word, before, known, totals, unigram, weights):
     """
     a, b, m = weights
     v = before >> np.uint64(32)
+    if not len(word):
+        none, whole, part = np.zeros(0), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        return Trie([(whole, None, [none, none]), (whole, part, [none, none]), (whole, part, [none])])
     new1 = np.r_[True, word[1:] != word[:-1]]
     new2 = new1 | np.r_[True, v[1:] != v[:-1]]
     new3 = new2 | np.r_[True, before[1:] != before[:-1]]

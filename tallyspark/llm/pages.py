@@ -173,21 +173,28 @@ def cost(block, has_content):
 
 
 def ties(blocks):
-    """(i, j, capacity): neighbours by their distance in the tree, and the next block of the same parent."""
+    """(i, j, capacity): neighbours by their distance in the tree, and the next block of the same parent.
+
+    A block inside an element of boilerplate is not tied to one outside.
+    """
     found, last = [], {}
     for j, block in enumerate(blocks):
-        parent = block.element.parent
-        if j:
+        parent = (id(block.element.parent), _marked(block))
+        if j and _marked(blocks[j - 1]) == _marked(block):
             steps = _distance(blocks[j - 1].element, block.element)
             if strength := ADJACENT >> max(0, steps - 2):
                 found.append((j - 1, j, strength))
-        i = last.get(id(parent))
+        i = last.get(parent)
         if i is not None and i != j - 1:
             found.append((i, j, SIBLINGS))
-        last[id(parent)] = j
+        last[parent] = j
     return found
 
 
+def _marked(block):
+    return block.element.bad <= IN_BOILERPLATE
+
+
 def _distance(a, b):
     steps = 0
     while a is not b:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.components import connected_components
-from tallyspark.llm.texts import words_of
+from tallyspark.llm.texts import unused, words_of
 from tallyspark.session import stored
 
 SHINGLE_WORDS = 3
@@ -165,10 +165,11 @@ def one_of_each(docs: DataFrame, ids="doc_id", text="text") -> DataFrame:
 
     Of rows that share an id one stays at most. Rows with a null id cannot be told apart and stay.
     """
+    key = unused(docs, "component_member")
     found = stored(near_duplicates(docs, ids, text), "components").where("doc_id is not null")
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"))
-    repeated = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
-    same = docs[ids] == F.col("_id")
+    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    repeated = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    same = docs[ids] == F.col(key)
     left = docs.join(dropped, same, "left_anti")
-    once = left.join(repeated, left[ids] == repeated["_id"], "left_anti")
-    return once.unionByName(left.join(repeated, left[ids] == repeated["_id"], "left_semi").dropDuplicates([ids]))
+    once = left.join(repeated, left[ids] == repeated[key], "left_anti")
+    return once.unionByName(left.join(repeated, left[ids] == repeated[key], "left_semi").dropDuplicates([ids]))

@@ -11,6 +11,7 @@ All of it is DataFrame functions.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.texts import unused
 from tallyspark.session import stored
 
 WINDOW = 8
@@ -38,7 +39,7 @@ UNITS = (
 
 # Marks a name; a capitalised word is one unless it begins a sentence.
 NAME = "\x01"
-_NAMES = r"(?<=[\p{L}\p{N},;:)\"'] )(?=\p{Lu}\p{Ll})"
+_NAMES = r"(?<=[\p{L}\p{N},;:)\"']\s{1,3})(?=\p{Lu}\p{Ll})"
 _INSIDE_NUMBER = r"(?<=[0-9])[.,:/](?=[0-9])"
 
 
@@ -114,8 +115,11 @@ def inconsistent(docs: DataFrame, matched: DataFrame, ids="doc_id", text="text")
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
     rows = docs.select(F.col(ids).alias("id"), F.col(text).alias("text")).join(by_doc, F.col("id").eqNullSafe(F.col("doc_id")))
-    seen = rows.select("doc_id", tokens_of(F.col("text")).alias("tokens"), "wanted").select("doc_id", "tokens", F.explode("wanted").alias("w"))
-    pairs = seen.select("doc_id", "w.item_id", "w.shift", "w.kind", "w.value", F.try_element_at("tokens", F.col("w.at") + 1).alias("other")).distinct()
+    rows = rows.select("doc_id", tokens_of(F.col("text")).alias("tokens"), "wanted").withColumn("template", template_of(F.col("tokens")))
+    seen = rows.select("doc_id", "tokens", "template", F.explode("wanted").alias("w"))
+    # Another row with the same id has something else at this place.
+    seen = seen.where(F.try_element_at("template", F.col("w.at") + 1) == F.col("w.kind"))
+    pairs = seen.select("doc_id", "w.item_id", "w.shift", "w.kind", "w.value", F.element_at("tokens", F.col("w.at") + 1).alias("other")).distinct()
     there = pairs.groupBy("doc_id", "item_id", "shift", "kind", "value").agg(F.count("*").alias("n"))
     back = pairs.groupBy("doc_id", "item_id", "shift", "kind", "other").agg(F.count("*").alias("n"))
     keys = ["doc_id", "item_id", "shift"]
@@ -149,5 +153,6 @@ def contaminated(
 
 def without_contaminated(docs: DataFrame, items: DataFrame, ids="doc_id", text="text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with the columns of ``docs``."""
-    found = contaminated(docs, items, ids, text).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, docs[ids].eqNullSafe(F.col("_id")), "left_anti")
+    key = unused(docs, "contaminated_id")
+    found = contaminated(docs, items, ids, text).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(found, docs[ids].eqNullSafe(F.col(key)), "left_anti")

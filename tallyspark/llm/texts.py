@@ -22,3 +22,11 @@ def remainder(column, modulus):
 def words_of(text):
     """The words of a text as bytes: A-Z in lower case, split at ASCII white space; null has none."""
     return text.encode("utf-8").lower().split() if text else []
+
+
+def unused(frame, name):
+    """``name``, or with underscores behind it if ``frame`` has such a column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyspark.llm.texts import remainder
+from tallyspark.llm.texts import remainder, unused
 from tallyspark.session import stored
 
 # Labelled rows that the dictionaries and the calibration are fitted on, at most.
@@ -195,5 +195,6 @@ def classify(docs: DataFrame, labels: DataFrame, ids="doc_id", text="text", labe
 
 def without_toxic(docs: DataFrame, labels: DataFrame, ids="doc_id", text="text", label="toxic", limit=TRAINING_ROWS) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic, with the columns of ``docs``."""
-    scored = score(docs, train(docs, labels, ids, text, label, limit), text, "_toxic")
-    return scored.where(F.col("_toxic") < 0.5).drop("_toxic")
+    name = unused(docs, "toxic_score")
+    scored = score(docs, train(docs, labels, ids, text, label, limit), text, name)
+    return scored.where(F.col(name) < 0.5).drop(name)
