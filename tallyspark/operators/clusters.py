@@ -15,7 +15,7 @@ from .splits import sample_rows
 
 # --- Fixed values: candidate numbers of clusters. ---
 ELBOW_K = [50, 100, 150, 200, 300, 500]
-SILHOUETTE_ROWS = 10000
+# --- End of fixed values. ---
 
 
 def as_array(df, features):
@@ -58,6 +58,10 @@ def centroids(df: DataFrame, features, cluster) -> DataFrame:
     return means.select("cluster", vector_to_array("_m").alias("centroid"), "size")
 
 
+def _square(x):
+    return F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda s, v: s + v)
+
+
 def _squared(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
@@ -65,11 +69,10 @@ def _squared(a, b):
 def distances_to_centroid(df: DataFrame, features, cluster) -> DataFrame:
     """(cluster, squared distance) of every row to its own centroid.
 
-    The centroids are k rows, k being chosen by the caller.
+    Spark broadcasts the centroids if they are few; hot clusters of a shuffled join are split.
     """
     rows = df.select(F.col(cluster).alias("cluster"), as_array(df, features).alias("_x"))
-    middle = F.broadcast(centroids(df, features, cluster))
-    return rows.join(middle, "cluster").select("cluster", _squared("_x", "centroid").alias("d2"))
+    return rows.join(centroids(df, features, cluster), "cluster").select("cluster", _squared("_x", "centroid").alias("d2"))
 
 
 def cluster_quality(df: DataFrame, features, cluster) -> DataFrame:
@@ -103,12 +106,39 @@ def davies_bouldin(df: DataFrame, features, cluster) -> DataFrame:
     return middle.withColumn("_all", others).agg(F.avg(worst).alias("davies_bouldin"))
 
 
-def silhouette(df: DataFrame, features, cluster, key="id", max_rows=SILHOUETTE_ROWS, seed=42):
-    """Mean Euclidean silhouette of at most ``max_rows`` sampled rows.
+def silhouette(df: DataFrame, features, cluster):
+    """Mean silhouette of all rows under squared Euclidean distance.
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, mean vector and
+    mean square, so the work is linear in the rows: each looks at one entry per cluster. Rows of
+    clusters of one count zero.
+    """
+    rows = df.select(F.col(cluster).alias("cluster"), as_array(df, features).alias("_x")).withColumn("_q", _square("_x"))
+    spread = rows.groupBy("cluster").agg(F.avg("_q").alias("q"))
+    every = centroids(df, features, cluster).join(spread, "cluster").agg(
+        F.collect_list(F.struct("cluster", "centroid", "size", "q"))
+    ).scalar()
+
+    def to_cluster(c):
+        inner = F.aggregate(F.zip_with(c["centroid"], F.col("_x"), lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+        return F.greatest(F.col("_q") + c["q"] - 2 * inner, F.lit(0.0))
+
+    own = F.filter("_all", lambda c: c["cluster"] == F.col("cluster"))[0]
+    others = F.transform(F.filter("_all", lambda c: c["cluster"] != F.col("cluster")), to_cluster)
+    inner, outer = to_cluster(own) * own["size"] / (own["size"] - 1), F.array_min(others)
+    scored = rows.withColumn("_all", every).select(
+        F.when(own["size"] > 1, inner).alias("a"), outer.alias("b"), own["size"].alias("size")
+    )
+    value = F.when(F.col("size") > 1, (F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-300))).otherwise(0.0)
+    return scored.agg(F.avg(value).alias("silhouette"))
+
+
+def sampled_silhouette(df: DataFrame, features, cluster, max_rows, key="id", seed=42):
+    """Mean Euclidean silhouette of ``max_rows`` sampled rows.
 
     The sample goes to every task as one matrix (its size is bounded by
-    ``max_rows``); each task measures its own rows against it. For a score over
-    all rows use ``ClusteringEvaluator``, which takes squared distances.
+    ``max_rows``); each task measures its own rows against it. ``silhouette``
+    scores all rows.
     """
     rows = df.select(
         F.col(key).alias("id"), F.col(cluster).alias("cluster"), as_array(df, features).alias("x")
@@ -142,7 +172,7 @@ def silhouette(df: DataFrame, features, cluster, key="id", max_rows=SILHOUETTE_R
     return sample.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
 
 
-def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", key="id", seeds=(42, 43, 44)):
+def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", seeds=(42, 43, 44)):
     """Inertia, silhouette and Davies-Bouldin index for each number of clusters."""
     rows = []
     for k in k_values:
@@ -152,7 +182,7 @@ def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", key="id",
             (
                 k,
                 float(model.summary.trainingCost),
-                silhouette(labelled, features, "cluster", key).first()[0],
+                silhouette(labelled, features, "cluster").first()[0],
                 davies_bouldin(labelled, features, "cluster").first()[0],
             )
         )

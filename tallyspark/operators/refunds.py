@@ -109,8 +109,8 @@ def largest_refunds(patterns: DataFrame, n) -> DataFrame:
     ).limit(n)
 
 
-def enrich(patterns: DataFrame, donors, committees, sample_size=50000) -> DataFrame:
-    """The largest patterns with the details of donor and committee."""
+def enrich(patterns: DataFrame, donors, committees) -> DataFrame:
+    """All patterns with the details of donor and committee; ``largest_refunds`` picks some beforehand."""
     d = donors.select(
         F.col("id").alias("contributor_id"), "first_name", "last_name", "city", "state", "zip_code",
         "employer", "occupation", "primary_party",
@@ -122,8 +122,7 @@ def enrich(patterns: DataFrame, donors, committees, sample_size=50000) -> DataFr
         F.col("cmte_pty_affiliation").alias("committee_party"),
         F.col("cmte_tp").alias("committee_type"), F.col("cmte_st").alias("committee_state"),
     )
-    top = largest_refunds(patterns, sample_size)
-    return top.join(d, "contributor_id", "left").join(c, "cmte_id", "left")
+    return patterns.join(d, "contributor_id", "left").join(c, "cmte_id", "left")
 
 
 def refund_summary(patterns: DataFrame, contributions) -> DataFrame:

@@ -400,7 +400,7 @@ query(_davies_bouldin, "davies_bouldin", digits=6)
 
 
 def _silhouette(g):
-    return clusters.silhouette(g.table("embeddings"), "embedding", "label", "vec_id")
+    return clusters.silhouette(g.table("embeddings"), "embedding", "label")
 
 
 query(_silhouette, "silhouette", digits=6)
@@ -459,7 +459,7 @@ def approximate_knn_recall(g):
 @query
 def neighbor_votes(g):
     e = g.table("embeddings")
-    found = knn.knn(e, e, 15, key="vec_id", features="embedding", exclude_self=True)
+    found = knn.exact_knn(e, e, 15, key="vec_id", features="embedding", exclude_self=True)
     facts = e.withColumn("amount", F.col("vec_id") * 3 % 101 * 1.0)
     return knn.neighbor_votes(found, facts, "vec_id", "label", ["amount"])
 
@@ -475,16 +475,11 @@ def _model_splits(g):
 
 @query
 def party_model_comparison(g):
-    """Logistic regression, forest and boosting on all features and on demographics only."""
+    """All four classifiers on all features and on demographics only."""
     tables = []
     for name, kind in (("full", features.FULL), ("demo", features.DEMOGRAPHIC)):
         (train, val, _), _ = features.prepare(*_model_splits(g), kind)
-        made = {
-            "Logistic Regression": models.logistic(train.count()),
-            "Random Forest": models.forest_classifier(trees=20, depth=10, leaf=5),
-            "Gradient Boosting": models.boosted_classifier(trees=5, depth=3),
-        }
-        _, metrics = models.party_classifiers(train, val, made)
+        _, metrics = models.party_classifiers(train, val, models.default_party_classifiers(train.count()))
         tables.append(metrics.withColumn("features", F.lit(name)))
     return union_all(tables)
 
@@ -492,37 +487,23 @@ def party_model_comparison(g):
 @query
 def kernel_svm_metrics(g):
     (train, val, _), _ = features.prepare(*_model_splits(g))
-    mapped = models.kernel_features(train, "features", "kernel_features", size=64)
-    _, metrics = models.party_classifiers(
-        mapped(train), mapped(val), {"Support Vector Machine": models.kernel_svm()}
-    )
+    _, metrics = models.party_classifiers(train, val, {"Support Vector Machine": models.KernelSvm()})
     return metrics
 
 
 @query
 def amount_model_comparison(g):
-    """Ridge, forest and boosting per party, with stage-one probabilities as features."""
+    """Ridge, forest and boosting for each party, with stage-one probabilities as features."""
     (train, val, _), _ = features.prepare(*_model_splits(g))
     stage1, _ = models.party_classifiers(train, val, {"Logistic Regression": models.logistic(train.count())})
     party = stage1["Logistic Regression"]
-    amounts = features.PARTY_AMOUNTS
     rows = [
         models.with_party_probabilities(df, party).select(
-            F.col("stage2_features").alias("features"), *[F.col(c).cast("double").alias(c) for c in amounts]
+            F.col("stage2_features").alias("features"), *[F.col(c).cast("double").alias(c) for c in features.PARTY_AMOUNTS]
         )
         for df in (train, val)
     ]
-
-    def make_for(p):
-        label = f"{p.lower()}_amount"
-        return {
-            "Ridge Regression": lambda df: models.ridge(df, label),
-            "Random Forest": lambda df: models.forest_regressor(label, trees=10, depth=8, leaf=5),
-            "Gradient Boosting": lambda df: models.boosted_regressor(label, trees=5, depth=4),
-        }
-
-    _, metrics = models.all_amount_models(*rows, parties=("DEM", "REP"), make_for=make_for)
-    return metrics
+    return models.all_amount_models(*rows)[1]
 
 
 def _likelihood_sets(g):
@@ -536,13 +517,13 @@ def _likelihood_sets(g):
 @query
 def forest_stages(g):
     _, _, (train, test) = _likelihood_sets(g)
-    return models.forest_stages(train, cut_lineage(test), stages=(1, 10, 50))
+    return models.forest_stages(train, cut_lineage(test))
 
 
 @query
 def likelihood_importance(g):
     _, _, (train, _) = _likelihood_sets(g)
-    forest, _ = models.likelihood_models(train, trees=20, boosted_trees=2)
+    forest, _ = models.likelihood_models(train)
     return models.importance_frame(g.spark, forest, likelihood.MODEL_COLUMNS)
 
 
@@ -550,7 +531,7 @@ def likelihood_importance(g):
 def scored_pairs(g):
     """All labelled pairs and as many without any history."""
     raw, scaler, (train, _) = _likelihood_sets(g)
-    forest, boosted = models.likelihood_models(train, trees=20, boosted_trees=5)
+    forest, boosted = models.likelihood_models(train)
     known = likelihood.label_pairs(g.totals, CUTOFF).select(*likelihood.PAIR)
     unknown = known.select((F.col("contributor_id") + 10**9).alias("contributor_id"), "cmte_id")
     return models.score_pairs(

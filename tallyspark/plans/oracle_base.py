@@ -203,7 +203,7 @@ patterns AS (
 enriched AS (
   SELECT p.*, c.last_name, c.state, c.employer, c.primary_party, c.total_amount AS lifetime_amount,
     m.cmte_nm AS committee_name, m.cmte_pty_affiliation AS committee_party
-  FROM (SELECT * FROM patterns ORDER BY total_refunded DESC, contributor_id, cmte_id, donation_year LIMIT 50000) p
+  FROM patterns p
   LEFT JOIN donors c ON p.contributor_id = c.id LEFT JOIN committees m ON p.cmte_id = m.cmte_id
 ),
 facts AS (

@@ -497,7 +497,8 @@ gap AS (SELECT a.label AS l, b.label AS m, sqrt(sum((a.c - b.c) * (a.c - b.c)))
 SELECT {num('avg(worst)', 'davies_bouldin', 6)} FROM (
   SELECT l, max((a.s + b.s) / d) AS worst FROM gap JOIN s a ON l = a.label JOIN s b ON m = b.label GROUP BY l)"""
 SQL["silhouette"] = f"""WITH d AS (
-  SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) AS s,
+  SELECT a.vec_id, a.label AS own, b.label AS other,
+    sum(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) ** 2) AS s,
     count(*) AS n FROM embeddings a JOIN embeddings b ON true GROUP BY a.vec_id, a.label, b.label),
 i AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
   min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY vec_id)

@@ -94,9 +94,22 @@ def test_kernel_svm_learns_a_ring(spark):
     df = spark.createDataFrame(rows, "id long, primary_party string, x array<double>").select(
         "id", "primary_party", array_to_vector("x").alias("features")
     )
-    mapped = models.kernel_features(df, "features", "kernel_features", size=100)(df)
-    _, metrics = models.party_classifiers(mapped, mapped, {"SVM": models.kernel_svm()})
+    fitted, metrics = models.party_classifiers(df, df, {"SVM": models.KernelSvm(size=100)})
     assert metrics.first()["val_accuracy"] > 0.85
+    auc = {r["class"]: r["auc"] for r in models.party_auc(fitted["SVM"], df).collect()}
+    assert auc["DEM"] > 0.85 and auc["REP"] > 0.85
+
+
+def test_every_classifier_gives_probabilities_for_stage_two(planted):
+    train, val, _ = planted
+    made = {"Gradient Boosting": models.boosted_classifier(trees=3, depth=3), "SVM": models.KernelSvm(size=32)}
+    fitted, _ = models.party_classifiers(train, val, made)
+    for model in fitted.values():
+        assert all(r["auc"] > 0.7 for r in models.party_auc(model, val).collect() if r["auc"] is not None)
+        stacked = models.with_party_probabilities(val, model)
+        row = stacked.first()
+        width, shares = len(row["features"]), row["stage2_features"].toArray()[len(row["features"]):]
+        assert len(row["stage2_features"]) > width and shares.sum() == pytest.approx(1.0) and (shares >= 0).all()
 
 
 def test_metrics_edge_cases(spark):
