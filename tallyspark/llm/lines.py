@@ -63,20 +63,25 @@ def numbered_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WOR
 
 
 def first_places(lines: DataFrame) -> DataFrame:
-    """One row per different line: (h1, h2, place: the earliest (doc_id, pos), halves)."""
-    # The halves belong to the line's words, so any row of a line has them.
-    return lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("place"), F.first("halves").alias("halves"))
+    """One row per different line: (h1, h2, place: the earliest (doc_id, pos))."""
+    return lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("place"))
 
 
-def with_possible_partner(places: DataFrame) -> DataFrame:
-    """The lines that share a half with a different line."""
-    keys = places.select("h1", "h2", "place", F.explode("halves").alias("half"))
-    shared = keys.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("half")
-    return keys.join(shared, "half", "left_semi").select("h1", "h2", "place").distinct()
+def _small(frame):
+    """``frame``, to be broadcast if it has few rows; they are a few numbers each."""
+    return F.broadcast(frame) if frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else frame
+
+
+def with_possible_partner(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """The places of the lines that share a half with a different line."""
+    keys = lines.select("h1", "h2", F.explode("halves").alias("half"))
+    shared = stored(keys.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("half"), "shared")
+    wanted = keys.join(_small(shared), "half", "left_semi").select("h1", "h2").distinct()
+    return places.join(wanted, ["h1", "h2"], "left_semi")
 
 
 def _fetch(docs, wanted, ids, text):
-    """The words of the lines at the wanted places."""
+    """(line, h1, h2, place, words) of the lines at the wanted places; ``line`` numbers them in the order of places."""
     by_doc = wanted.groupBy("place.doc_id").agg(F.collect_list(F.struct("place.pos", "h1", "h2")).alias("wanted"))
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
@@ -87,47 +92,45 @@ def _fetch(docs, wanted, ids, text):
         F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"), F.struct("doc_id", F.col("w.pos").alias("pos")).alias("place"), words.alias("words")
     )
     # Rows that share an id have other lines at the same place.
-    return found.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(1), F.col("words")) == F.col("h2"))).dropDuplicates(["h1", "h2"])
+    found = found.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(1), F.col("words")) == F.col("h2"))).dropDuplicates(["h1", "h2"])
+    # Sorted ranges of places get rising numbers; the table is written before they are used.
+    return found.repartitionByRange("place").sortWithinPartitions("place").withColumn("line", F.monotonically_increasing_id())
 
 
 def variant_keys(lines: DataFrame) -> DataFrame:
-    """(key, kind, h1, h2, place) for every variant of lines (h1, h2, place, words).
+    """(line, n, i, rest, whole) for each word i of lines (line, words) of n words: hashes without the word, and of all.
 
-    Kind 0: without the word at one place, to meet lines with another word there; 1: the whole
-    line; 2: without one word, to meet that line. A line's hash is the exclusive or of its words'
-    hashes, each rotated by its place; without word i it is that of the words before, and that of
-    the words behind turned back by one place. Running sums over the words' rows give both.
+    A line's hash is the exclusive or of its words' hashes, each rotated by its place; without word i it
+    is that of the words before, and that of the words behind turned back by one place. Running sums
+    over the words' rows give both.
     """
-    marks = lines.select("h1", "h2", "place", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).selectExpr(
-        "h1", "h2", "place", "n", "i", "xxhash64(word) as x"
-    ).selectExpr("h1", "h2", "place", "n", "i", "if(i % 64 = 0, x, shiftleft(x, i % 64) | shiftrightunsigned(x, 64 - i % 64)) as x")
-    line = Window.partitionBy("h1", "h2")
+    marks = lines.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).selectExpr(
+        "line", "n", "i", "xxhash64(word) as x"
+    ).selectExpr("line", "n", "i", "if(i % 64 = 0, x, shiftleft(x, i % 64) | shiftrightunsigned(x, 64 - i % 64)) as x")
+    line = Window.partitionBy("line")
     summed = marks.withColumn("whole", F.bit_xor("x").over(line)).withColumn(
         "upto", F.bit_xor("x").over(line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    left = summed.selectExpr("*", "whole ^ upto as behind").selectExpr(
-        "h1", "h2", "place", "n", "i", "whole", "upto ^ x ^ (shiftrightunsigned(behind, 1) | shiftleft(behind, 63)) as rest"
+    return summed.selectExpr("*", "whole ^ upto as behind").selectExpr(
+        "line", "n", "i", "upto ^ x ^ (shiftrightunsigned(behind, 1) | shiftleft(behind, 63)) as rest", "whole"
     )
-    variants = left.select("h1", "h2", "place", F.explode(F.array(
-        F.struct(F.xxhash64(F.lit("replaced"), "rest", "n", "i").alias("key"), F.lit(0).alias("kind")),
-        F.struct(F.xxhash64(F.lit("shorter"), "rest", F.col("n") - 1).alias("key"), F.lit(2).alias("kind")),
-        F.when(F.col("i") == 0, F.struct(F.xxhash64(F.lit("shorter"), "whole", "n").alias("key"), F.lit(1).alias("kind"))),
-    )).alias("v"))
-    return variants.where("v is not null").select("v.key", "v.kind", "h1", "h2", "place")
 
 
 def earliest_partners(variants: DataFrame) -> DataFrame:
-    """(h1, h2, place, other: the earliest line that meets it in a variant), where that is earlier than the line."""
-    own = F.struct("place", "h1", "h2")
-    least = variants.groupBy("key").agg(
-        F.min(F.when(F.col("kind") == 0, own)).alias("replaced"),
-        F.min(F.when(F.col("kind") == 1, own)).alias("whole"),
-        F.min(F.when(F.col("kind") == 2, own)).alias("longer"),
-        F.count("*").alias("n"),
-    ).where("n > 1").drop("n")
-    other = F.when(F.col("kind") == 0, F.col("replaced")).when(F.col("kind") == 1, F.col("longer")).otherwise(F.col("whole"))
-    met = variants.join(least, "key").select("h1", "h2", "place", other.alias("other")).where("other.place < place")
-    return met.groupBy("h1", "h2", "place").agg(F.min("other").alias("other"))
+    """(line, other): the earliest line that meets a line in a variant, where that is earlier.
+
+    Variants without word i meet at the same i: one word replaced. A variant that is a whole line meets it: one
+    word left out. A key keeps its earliest line, or its earliest whole and earliest longer one.
+    """
+    replaced = variants.select(F.xxhash64("rest", "n", "i").alias("key"), "line")
+    least = replaced.groupBy("key").agg(F.min("line").alias("other"), F.max("line").alias("last")).where("other < last").select("key", "other")
+    met = replaced.join(_small(stored(least, "replaced")), "key").select("line", "other")
+    whole = variants.where("i = 0").select(F.xxhash64("whole", "n").alias("key"), F.col("line").alias("whole_line"))
+    longer = variants.select(F.xxhash64("rest", F.col("n") - 1).alias("key"), "line").join(_small(whole), "key")
+    longer = stored(longer.select("line", "whole_line"), "longer")
+    met = met.unionByName(longer.select("line", F.col("whole_line").alias("other")))
+    met = met.unionByName(longer.select(F.col("whole_line").alias("line"), F.col("line").alias("other")))
+    return met.where("other < line").groupBy("line").agg(F.min("other").alias("other"))
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -145,13 +148,12 @@ def removed_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORD
     """(doc_id, pos) of every line that has an earlier equal or near line, lines counted from 0."""
     lines = stored(numbered_lines(docs, ids, text, min_words), "lines")
     places = stored(first_places(lines), "places")
-    candidates = stored(with_possible_partner(places), "candidates")
+    candidates = stored(with_possible_partner(lines, places), "candidates")
     words = stored(_fetch(docs, candidates, ids, text), "words")
-    variants = stored(variant_keys(words), "variants")
-    pairs = earliest_partners(variants)
-    there = words.select(F.struct("place", "h1", "h2").alias("other"), F.col("words").alias("other_words"))
+    pairs = earliest_partners(stored(variant_keys(words), "variants"))
+    there = words.select(F.col("line").alias("other"), F.col("words").alias("other_words"))
     near = (
-        pairs.join(words.select("h1", "h2", "words"), ["h1", "h2"]).join(there, "other")
+        pairs.join(words.select("line", "h1", "h2", "words"), "line").join(there, "other")
         .where(within_one_edit(F.col("words"), F.col("other_words"))).select("h1", "h2")
     )
     kept = places.join(near, ["h1", "h2"], "left_anti").select(F.col("place.doc_id").alias("kept_id"), F.col("place.pos").alias("kept_pos"))
@@ -162,7 +164,11 @@ def removed_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORD
 def _with_rest(docs, ids, text, min_words):
     """``docs`` with two columns of new names: the text without the removed lines, and their places."""
     rest, gone, lines, key = (unused(docs, name) for name in ("rest", "gone", "lines", "removed_id"))
-    removed = removed_lines(docs, ids, text, min_words).groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list("pos")).alias(gone))
+    removed = stored(removed_lines(docs, ids, text, min_words), "removed")
+    few = removed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    removed = removed.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list("pos")).alias(gone))
+    if few:
+        removed = F.broadcast(removed)
     joined = docs.join(removed, docs[ids].eqNullSafe(F.col(key)), "left").drop(key)
     joined = joined.withColumn(lines, F.split(F.col(text), "\n", -1))
     # Rows that share an id may have fewer lines than others of it.
