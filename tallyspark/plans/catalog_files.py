@@ -25,8 +25,8 @@ def _text(df, path):
     return path
 
 
-def _itcont(g):
-    """Transactions as filing lines; one in nineteen lacks its last field."""
+def _itcont(g, *keep):
+    """Transactions as filing lines, with the columns ``keep``; one in nineteen lacks its last field."""
     raw = frames.raw_rows(g)
     columns = {
         "transaction_dt": F.date_format("transaction_dt", "MMddyyyy"),
@@ -34,10 +34,23 @@ def _itcont(g):
         "file_num": F.col("sub_id") % 1000,
     }
     rows = raw.select(*[columns.get(c, F.col(c)).alias(c) for c in filings.ITCONT_FIELDS])
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in filings.ITCONT_FIELDS]
     line = F.concat_ws("|", *fields)
     short = F.concat_ws("|", *fields[:-1])
-    return rows.select(F.when(F.col("sub_id") % 19 == 0, short).otherwise(line).alias("value"))
+    return rows.select(F.when(F.col("sub_id") % 19 == 0, short).otherwise(line).alias("value"), *keep)
+
+
+def _land(lines, folder, run):
+    """One file of lines for each remainder of sub_id, by the same names in every run."""
+    path = lines.sparkSession._jvm.org.apache.hadoop.fs.Path
+    parts = f"{folder}-{run}"
+    split = lines.select("value", (F.col("sub_id") % 4).alias("part"))
+    split.repartition("part").write.partitionBy("part").option("compression", "none").text(parts)
+    files = path(parts).getFileSystem(lines.sparkSession._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{folder}/{run}"))
+    for found in files.globStatus(path(f"{parts}/part=*/*.txt")):
+        name = found.getPath().getParent().getName().replace("part=", "itcont")
+        files.rename(found.getPath(), path(f"{folder}/{run}/{name}.txt"))
 
 
 @query
@@ -169,12 +182,13 @@ def csv_round_trip(g):
 
 @query
 def streamed_ingest(g):
-    """Two runs over a growing folder; the second also sees a file that came before."""
+    """Two runs over a growing folder: the second finds files with new rows and rows that came before."""
     folder, out, mark = (_folder(g, n) for n in ("landing", "tables", "marks"))
-    lines = _itcont(g)
-    lines.write.mode("append").option("compression", "none").text(folder)
-    first = incremental.ingest_incremental(g.spark, folder, out, mark, "*.txt")
-    again = incremental.ingest_incremental(g.spark, folder, out, mark, "*.txt")
+    lines = _itcont(g, "sub_id")
+    _land(lines.where("sub_id % 5 <> 0"), folder, "first")
+    first = incremental.ingest_incremental(g.spark, f"{folder}/*", out, mark, "*.txt")
+    _land(lines.where("sub_id % 5 in (0, 1)"), folder, "second")
+    again = incremental.ingest_incremental(g.spark, f"{folder}/*", out, mark, "*.txt")
     table = incremental.read_table(g.spark, out, "contributions")
     donors = incremental.read_table(g.spark, out, "donors")
     return table.agg(

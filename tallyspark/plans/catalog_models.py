@@ -1,6 +1,6 @@
 """Registered queries on samples, features, metrics, clusters, neighbours and models."""
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PARTIES
@@ -39,6 +39,17 @@ def sampled_donors(g):
     return splits.sample_rows(splits.modelling_cohort(g.donors), 500).select("id", "primary_party")
 
 
+@query
+def sampled_donors_facts(g):
+    """Size of the sample, its different ids, and how many of them the cohort has."""
+    cohort = splits.modelling_cohort(g.donors)
+    sample = splits.sample_rows(cohort, 500).select("id")
+    known = sample.join(cohort.select("id"), "id", "left_semi")
+    return sample.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).withColumn(
+        "members", known.agg(F.count("*")).scalar()
+    )
+
+
 @query
 def spread_sample_pairs(g):
     return splits.spread_sample(numbered_totals(g), 5000).select("id", "total_donations")
@@ -372,6 +383,21 @@ def cluster_profile(g):
     return clusters.cluster_profile(clustered_donors(g))
 
 
+@query
+def cluster_profile_lists(g):
+    """The ranked lists inside the nested profiles, one row per entry."""
+    profile = clusters.cluster_profile(clustered_donors(g))
+    out = None
+    for name, column in (
+        ("occupation", "demographics.top_occupations"),
+        ("state", "geographic.top_states"),
+        ("party", "party_affiliation.primary_party_distribution"),
+    ):
+        rows = profile.select("cluster_id", "size", F.lit(name).alias("list"), F.explode(column).alias("value", "n"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def cluster_summary(g):
     return clusters.profile_summary(clustered_donors(g))
@@ -420,10 +446,45 @@ def kmeans_clusters(g):
     return clusters.assign_clusters(model, rows)[0]
 
 
+@query
+def kmeans_facts(g):
+    """Rows, and those that another centre than their cluster's is nearer to."""
+    rows = vectors(g)
+    model = clusters.fit_kmeans(rows, 10)
+    centres = [F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()]
+    x = vector_to_array("features")
+
+    def square(c):
+        return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+    far = F.array(*[square(c) for c in centres])
+    marked = model.transform(rows).withColumn("_d", far)
+    own = F.element_at("_d", F.col("cluster") + 1)
+    return marked.agg(
+        F.count("*").alias("rows"), F.count_if(own > F.array_min("_d") + 1e-9).alias("misplaced"), F.lit(len(centres)).alias("centres")
+    )
+
+
+@query
+def fitted_segments(g):
+    """Donors segmented by K-means on the clustering features, from splits to profiles."""
+    (train, *others), _ = features.prepare(*_model_splits(g), features.CLUSTERING)
+    model = clusters.fit_kmeans(train, 8)
+    assigned = union_all([
+        a.withColumn("split", F.lit(name))
+        for name, a in zip(("train", "val", "test"), clusters.assign_clusters(model, train, *others))
+    ])
+    assigned = cut_lineage(assigned)
+    segments = clusters.with_clusters(g.donors, assigned.drop("split"))
+    profiled = clusters.cluster_profile(segments).agg(F.sum("size")).scalar()
+    counts = assigned.where("cluster between 0 and 7").groupBy("split").agg(F.count("*").alias("n"))
+    return counts.withColumn("profiled", profiled)
+
+
 @query
 def kmeans_elbow(g):
     rows = cut_lineage(vectors(g))
-    return clusters.elbow(rows, k_values=(5, 10, 20))
+    return clusters.elbow(rows)
 
 
 # --- Neighbours -------------------------------------------------------------
@@ -449,6 +510,14 @@ def approximate_knn(g):
     return knn.approximate_knn(e, e, 20, 1, "vec_id", "embedding")
 
 
+@query
+def approximate_knn_rows(g):
+    """Neighbours and their different ids per query."""
+    e = g.table("embeddings")
+    found = knn.approximate_knn(e, e, 20, 1, "vec_id", "embedding")
+    return found.groupBy("query_id").agg(F.count("*").alias("n"), F.count_distinct("neighbor_id").alias("ids"))
+
+
 @query
 def approximate_knn_recall(g):
     e = g.table("embeddings")

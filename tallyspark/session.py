@@ -1,5 +1,6 @@
 """Session settings and lineage cutting."""
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache, reduce
@@ -46,7 +47,8 @@ def shared_dir(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # One process only: executors of a local cluster are processes with folders of their own.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return _own_folder(spark.sparkContext.applicationId)
 
@@ -67,6 +69,12 @@ def stored(df: DataFrame, name) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark, path):
+    """Remove a folder that a job stored, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` as a stored table of no particular name."""
     return stored(df, "rows")
