@@ -161,28 +161,46 @@ def removed_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORD
     return lines.select("doc_id", "pos").join(kept, same, "left_anti").distinct()
 
 
+def _let(value, use):
+    """``use(value)`` with the value computed once, also where the optimizer would repeat it for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _without(lines, gone):
+    """The lines (an array) but for the places ``gone``, joined again."""
+
+    def begin(k):
+        return F.when(k == 0, F.lit(0)).otherwise(F.try_element_at(gone, F.greatest(k, F.lit(1))) + 1)
+
+    def stretch(k):
+        end = F.coalesce(F.try_element_at(gone, k + 1), F.size(lines))
+        return F.slice(lines, begin(k) + 1, end - begin(k))
+
+    return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), stretch)), "\n")
+
+
 def _with_rest(docs, ids, text, min_words):
     """``docs`` with two columns of new names: the text without the removed lines, and their places."""
-    rest, gone, lines, key = (unused(docs, name) for name in ("rest", "gone", "lines", "removed_id"))
+    rest, gone, key = (unused(docs, name) for name in ("rest", "gone", "removed_id"))
     removed = stored(removed_lines(docs, ids, text, min_words), "removed")
     few = removed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     removed = removed.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list("pos")).alias(gone))
     if few:
         removed = F.broadcast(removed)
     joined = docs.join(removed, docs[ids].eqNullSafe(F.col(key)), "left").drop(key)
-    joined = joined.withColumn(lines, F.split(F.col(text), "\n", -1))
-    # Rows that share an id may have fewer lines than others of it.
-    joined = joined.withColumn(gone, F.filter(F.coalesce(gone, F.array().cast("array<int>")), lambda p: p < F.size(lines)))
 
-    def begin(k):
-        return F.when(k == 0, F.lit(0)).otherwise(F.try_element_at(gone, F.greatest(k, F.lit(1))) + 1)
+    def known(lines):
+        # Rows that share an id may have fewer lines than others of it.
+        return _let(F.size(lines), lambda n: F.filter(F.coalesce(gone, F.array().cast("array<int>")), lambda p: p < n))
 
-    stretches = F.transform(
-        F.sequence(F.lit(0), F.size(gone)),
-        lambda k: F.slice(lines, begin(k) + 1, F.coalesce(F.try_element_at(gone, k + 1), F.size(lines)) - begin(k)),
+    split = F.split(F.col(text), "\n", -1)
+    left = _let(split, lambda lines: _let(known(lines), lambda places: _without(lines, places)))
+    return (
+        joined.withColumn(rest, F.when(F.size(gone) > 0, left).otherwise(F.col(text)))
+        .withColumn(gone, F.when(F.size(gone) > 0, known(split)).otherwise(F.array().cast("array<int>"))),
+        rest,
+        gone,
     )
-    left = F.when(F.size(gone) > 0, F.array_join(F.flatten(stretches), "\n")).otherwise(F.col(text))
-    return joined.withColumn(rest, left).drop(lines), rest, gone
 
 
 def dedupe_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS) -> DataFrame:

@@ -5,7 +5,8 @@ in toxic texts, one of ordinary wording. A window is compressed with either; wha
 dictionary saves over the ordinary one is the window's distance. A window is one word between
 fixed letters that both dictionaries hold, so its length depends on the word only, and equal
 words are compressed once per worker. How many windows of a text pass each of several
-thresholds goes into a logistic calibration that is fitted on the labelled rows.
+thresholds, of bytes saved and of the saved share of the word's own bytes, goes into a
+logistic calibration that is fitted on the labelled rows.
 """
 
 import re
@@ -22,10 +23,14 @@ from tallyspark.session import stored
 
 # Labelled rows that the dictionaries and the calibration are fitted on, at most.
 TRAINING_ROWS = 40_000
-# Words of the two dictionaries, and the least number of training rows that hold a toxic one.
-TOXIC_WORDS, ORDINARY_WORDS, LEAST_ROWS = 300, 1500, 3
-# Bytes that a window must save to count, one feature for each.
-THRESHOLDS = (2, 3, 4, 5, 6, 7)
+# Words of the two dictionaries, at most; a toxic one is in so many training rows at least, and its likelihood
+# ratio is one that chance gives to less than one of a million words.
+TOXIC_WORDS, ORDINARY_WORDS, LEAST_ROWS, LEAST_RATIO = 300, 1500, 3, 25.0
+# Bytes, and shares of a word's bytes, that a window must save to count.
+THRESHOLDS = (1, 2, 3, 4, 5, 6, 7, 8)
+SHARES = (0.3, 0.4, 0.5, 0.6)
+# Bytes are told apart from this number on.
+LEAST_SAVED = -4
 LEVEL = 6
 HELD_OUT = 5
 # Words a worker remembers; it starts anew when they are full. Only speed depends on it.
@@ -40,19 +45,24 @@ def words_of(text):
 
 
 class Distance(dict):
-    """Bytes that the toxic dictionary saves over the ordinary one, by word."""
+    """What the toxic dictionary saves over the ordinary one, by word, as the number of a class of bytes and share."""
 
     def __init__(self, toxic, ordinary):
         self.toxic, self.ordinary = _compressor(toxic), _compressor(ordinary)
+        self.empty = len(self.ordinary.compress(b" " + FRAME))
 
     def __missing__(self, word):
         window = b" " + word + b" " + FRAME
-        saved = len(self.ordinary.compress(window)) - len(self.toxic.compress(window))
+        usual = len(self.ordinary.compress(window))
+        saved = usual - len(self.toxic.compress(window))
+        share = saved / max(1, usual - self.empty + 1)
+        level = min(max(saved, LEAST_SAVED), THRESHOLDS[-1]) - LEAST_SAVED
+        number = level * (len(SHARES) + 1) + sum(share >= limit for limit in SHARES)
         if len(word) <= 64:
             if len(self) >= REMEMBERED_WORDS:
                 self.clear()
-            self[word] = saved
-        return saved
+            self[word] = number
+        return number
 
 
 def _compressor(words):
@@ -68,10 +78,14 @@ def _compressor(words):
 def features(text, distance):
     """How many windows of a whole text pass each threshold, by number and by share, and their mean distance."""
     found = words_of(text)
-    saved = np.fromiter(map(distance.__getitem__, found), dtype=np.int32, count=len(found))
-    counts = np.array([(saved >= t).sum() for t in THRESHOLDS], dtype=np.float64)
-    n = max(1, len(found))
-    return [*np.log1p(counts), *(10 * counts / n), saved.mean() if len(found) else 0.0]
+    levels, n = THRESHOLDS[-1] - LEAST_SAVED + 1, max(1, len(found))
+    classes = np.fromiter(map(distance.__getitem__, found), dtype=np.int64, count=len(found))
+    counts = np.bincount(classes, minlength=levels * (len(SHARES) + 1)).reshape(levels, -1)
+    passed = np.array([
+        *(counts[t - LEAST_SAVED :].sum() for t in THRESHOLDS), *(counts[:, k + 1 :].sum() for k in range(len(SHARES)))
+    ], dtype=np.float64)
+    mean = (counts.sum(axis=1) * np.arange(LEAST_SAVED, levels + LEAST_SAVED)).sum() / n
+    return [*np.log1p(passed), *(10 * passed / n), mean]
 
 
 def fit_logistic(x, y, rounds=100, ridge=0.5):
@@ -128,8 +142,8 @@ def train_dictionaries(rows: DataFrame):
     )
     a, b, share = F.col("a"), F.col("b"), toxic_rows / (toxic_rows + ordinary_rows)
     expected = (a + b) * share
-    ratio = a * F.log(a / expected) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0)
-    telling = counts.where((a >= LEAST_ROWS) & (a * ordinary_rows > b * toxic_rows)).orderBy(F.desc(ratio), "word").limit(TOXIC_WORDS)
+    ratio = 2 * (a * F.log(a / expected) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0))
+    telling = counts.where((a >= LEAST_ROWS) & (a * ordinary_rows > b * toxic_rows) & (ratio >= LEAST_RATIO)).orderBy(F.desc(ratio), "word").limit(TOXIC_WORDS)
     usual = counts.orderBy(F.desc("b"), "word").limit(ORDINARY_WORDS)
     toxic = [bytes(r["word"]) for r in telling.select("word").collect()][::-1]
     ordinary = [w for w in (bytes(r["word"]) for r in usual.select("word").collect()) if w not in set(toxic)][::-1]
