@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import PARTIES, mean
 from .explore import top_n, top_n_per_group
 from .features import most_frequent
+from .side_by_side import side_by_side
 from .splits import sample_rows
 
 # --- Fixed values: candidate numbers of clusters. ---
@@ -33,11 +34,11 @@ def as_vector(df, features):
 
 def fit_kmeans(df: DataFrame, k, features="features", seeds=(42, 43, 44), max_iter=100):
     """The fit of lowest cost over the seeds (Lloyd's steps over all rows, k-means|| start)."""
-    fits = [
-        KMeans(k=k, featuresCol=features, predictionCol="cluster", seed=s, maxIter=max_iter).fit(df)
-        for s in seeds
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+
+    def fit(seed):
+        return KMeans(k=k, featuresCol=features, predictionCol="cluster", seed=seed, maxIter=max_iter).fit(df)
+
+    return min(side_by_side(df.sparkSession, fit, seeds), key=lambda m: m.summary.trainingCost)
 
 
 def assign_clusters(model, *splits):
@@ -174,18 +175,18 @@ def sampled_silhouette(df: DataFrame, features, cluster, max_rows, key="id", see
 
 def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", seeds=(42, 43, 44)):
     """Inertia, silhouette and Davies-Bouldin index for each number of clusters."""
-    rows = []
-    for k in k_values:
+
+    def row(k):
         model = fit_kmeans(df, k, features, seeds)
         labelled = model.transform(df)
-        rows.append(
-            (
-                k,
-                float(model.summary.trainingCost),
-                silhouette(labelled, features, "cluster").first()[0],
-                davies_bouldin(labelled, features, "cluster").first()[0],
-            )
+        return (
+            k,
+            float(model.summary.trainingCost),
+            silhouette(labelled, features, "cluster").first()[0],
+            davies_bouldin(labelled, features, "cluster").first()[0],
         )
+
+    rows = side_by_side(df.sparkSession, row, k_values)
     schema = "k int, inertia double, silhouette_score double, davies_bouldin_index double"
     return df.sparkSession.createDataFrame(rows, schema)
 

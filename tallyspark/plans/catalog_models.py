@@ -484,7 +484,7 @@ def fitted_segments(g):
 @query
 def kmeans_elbow(g):
     rows = cut_lineage(vectors(g))
-    return clusters.elbow(rows)
+    return clusters.elbow(rows, k_values=(5, 10, 20))
 
 
 # --- Neighbours -------------------------------------------------------------
@@ -544,11 +544,16 @@ def _model_splits(g):
 
 @query
 def party_model_comparison(g):
-    """All four classifiers on all features and on demographics only."""
+    """Logistic regression, forest and boosting on all features and on demographics only."""
     tables = []
     for name, kind in (("full", features.FULL), ("demo", features.DEMOGRAPHIC)):
         (train, val, _), _ = features.prepare(*_model_splits(g), kind)
-        _, metrics = models.party_classifiers(train, val, models.default_party_classifiers(train.count()))
+        made = {
+            "Logistic Regression": models.logistic(train.count()),
+            "Random Forest": models.forest_classifier(trees=20, depth=10, leaf=5),
+            "Gradient Boosting": models.boosted_classifier(trees=5, depth=3),
+        }
+        _, metrics = models.party_classifiers(train, val, made)
         tables.append(metrics.withColumn("features", F.lit(name)))
     return union_all(tables)
 
@@ -556,7 +561,7 @@ def party_model_comparison(g):
 @query
 def kernel_svm_metrics(g):
     (train, val, _), _ = features.prepare(*_model_splits(g))
-    _, metrics = models.party_classifiers(train, val, {"Support Vector Machine": models.KernelSvm()})
+    _, metrics = models.party_classifiers(train, val, {"Support Vector Machine": models.KernelSvm(size=64)})
     return metrics
 
 
@@ -572,7 +577,16 @@ def amount_model_comparison(g):
         )
         for df in (train, val)
     ]
-    return models.all_amount_models(*rows)[1]
+
+    def make_for(p):
+        label = f"{p.lower()}_amount"
+        return {
+            "Ridge Regression": lambda df: models.ridge(df, label),
+            "Random Forest": lambda df: models.forest_regressor(label, trees=10, depth=8, leaf=5),
+            "Gradient Boosting": lambda df: models.boosted_regressor(label, trees=5, depth=4),
+        }
+
+    return models.all_amount_models(*rows, make_for=make_for)[1]
 
 
 def _likelihood_sets(g):
@@ -586,13 +600,14 @@ def _likelihood_sets(g):
 @query
 def forest_stages(g):
     _, _, (train, test) = _likelihood_sets(g)
-    return models.forest_stages(train, cut_lineage(test))
+    return models.forest_stages(train, cut_lineage(test), stages=(1, 10, 50))
 
 
 @query
 def likelihood_importance(g):
     _, _, (train, _) = _likelihood_sets(g)
-    forest, _ = models.likelihood_models(train)
+    rows = cut_lineage(models.balanced(train, "donated_after_cutoff"))
+    forest = models.likelihood_forest(20).fit(rows)
     return models.importance_frame(g.spark, forest, likelihood.MODEL_COLUMNS)
 
 
@@ -600,7 +615,7 @@ def likelihood_importance(g):
 def scored_pairs(g):
     """All labelled pairs and as many without any history."""
     raw, scaler, (train, _) = _likelihood_sets(g)
-    forest, boosted = models.likelihood_models(train)
+    forest, boosted = models.likelihood_models(train, trees=20, boosted_trees=5)
     known = likelihood.label_pairs(g.totals, CUTOFF).select(*likelihood.PAIR)
     unknown = known.select((F.col("contributor_id") + 10**9).alias("contributor_id"), "cmte_id")
     return models.score_pairs(
