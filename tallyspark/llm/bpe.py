@@ -14,9 +14,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tallyspark.llm.texts import slices
+
 # Distinct words, and strings between spaces, that a worker remembers; it starts anew when they are
 # full. Only speed depends on it.
-REMEMBERED_WORDS = 700_000
+REMEMBERED_WORDS = 250_000
+# Documents that are encoded before their results leave the worker.
+ROWS_AT_ONCE = 500
 
 # Capitals that are newer than Python's own tables, with their small letters.
 LATE_CAPITALS = {
@@ -196,7 +200,7 @@ def encode_documents(docs: DataFrame, path, text="text", ids="doc_id") -> DataFr
 
     def run(batches):
         tokenizer = loaded(path)
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             counts, raws, decoded = [], [], []
             for text in batch.column(1):
                 raws.append(tokenizer.encode(text.as_py() or ""))

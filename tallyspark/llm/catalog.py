@@ -3,7 +3,6 @@
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
 
 from tallyspark.llm import bpe, chat, lattice, licences, lines, ngrams, pages, simhash, templates, toxicity
 from tallyspark.llm.texts import table

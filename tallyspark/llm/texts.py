@@ -30,3 +30,10 @@ def unused(frame, name):
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def slices(batches, rows):
+    """Arrow batches of at most ``rows`` rows, so that results of a large batch do not pile up in a worker."""
+    for batch in batches:
+        for start in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(start, rows)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallyspark.llm.texts import remainder, unused
+from tallyspark.llm.texts import remainder, slices, unused
 from tallyspark.session import stored
 
 # Labelled rows that the dictionaries and the calibration are fitted on, at most.
@@ -34,7 +34,9 @@ LEAST_SAVED = -4
 LEVEL = 6
 HELD_OUT = 5
 # Words a worker remembers; it starts anew when they are full. Only speed depends on it.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 300_000
+# Documents that are scored before their results leave the worker.
+ROWS_AT_ONCE = 500
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FRAME = b"0123456789 9876543210 0246813579"
@@ -185,7 +187,7 @@ def score(docs: DataFrame, model, text="text", name="score") -> DataFrame:
 
     def run(batches):
         distance = Distance(*dictionaries)
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             x = np.array([features(t.as_py(), distance) for t in batch.column(place)]).reshape(batch.num_rows, -1)
             p = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30))) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, name])
