@@ -5,6 +5,10 @@ templates are hashed, and those of documents joined with those of benchmark item
 window says which value stands in which slot: an occurrence of an item counts only if
 every slot value of the item goes to one value of the document and back. So a question with
 other numbers or names is found, and a mere resemblance of placeholders is not.
+
+A capitalised word that begins a sentence may be a name or not, so templates are hashed in
+both readings: such words as they are, and all of them as names. The slot check is done
+for each reading of an item by itself.
 All of it is DataFrame functions.
 """
 
@@ -37,92 +41,120 @@ UNITS = (
 ).split()
 # End of fixed values.
 
-# Marks a name; a capitalised word is one unless it begins a sentence.
-NAME = "\x01"
+# Marks of a name, and of a capitalised word that may be one or begin a sentence.
+NAME, EITHER = "\x01", "\x02"
 _NAMES = r"(?<=[\p{L}\p{N},;:)\"']\s{1,3})(?=\p{Lu}\p{Ll})"
+_EITHER = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}\x01])"
 _INSIDE_NUMBER = r"(?<=[0-9])[.,:/](?=[0-9])"
 
 
 def tokens_of(text: Column) -> Column:
-    """The words of a text in lower case, names marked, each number one word; null has none."""
-    marked = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _NAMES, NAME), _INSIDE_NUMBER, "")
-    return F.array_remove(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01]+", -1), "")
+    """The words of a text in lower case, names and words that may be names marked, each number one word; null has none."""
+    marked = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(NAME), F.lit(" ")), F.lit(EITHER), F.lit(" "))
+    for pattern, mark in ((_NAMES, NAME), (_EITHER, EITHER), (_INSIDE_NUMBER, "")):
+        marked = F.regexp_replace(marked, pattern, mark)
+    return F.array_remove(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01\x02]+", -1), "")
+
+
+def word_of(token: Column) -> Column:
+    """A token without its mark."""
+    return F.when(token < F.lit("\x03"), F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
 def template_of(tokens: Column) -> Column:
-    """Tokens with placeholders for names, numbers and units."""
-    return F.transform(tokens, lambda t: (
-        F.when(t < F.lit("\x02"), F.lit("<name>"))
-        .when(((t >= F.lit("0")) & (t < F.lit(":"))) | t.isin(NUMBERS), F.lit("<number>"))
-        .when(t.isin(UNITS), F.lit("<unit>"))
-        .otherwise(t)
-    ))
+    """Tokens with placeholders for names, numbers and units; words that may be names stay."""
+
+    def typed(t):
+        word = word_of(t)
+        number = ((t >= F.lit("0")) & (t < F.lit(":"))) | word.isin(NUMBERS)
+        return F.when(t < F.lit(EITHER), F.lit("<name>")).when(number, F.lit("<number>")).when(word.isin(UNITS), F.lit("<unit>")).otherwise(word)
+
+    return F.transform(tokens, typed)
+
 
+def with_names(template: Column, tokens: Column) -> Column:
+    """The template of tokens in which words that may be names have become placeholders, too."""
+    # Placeholders begin with "<", which is before "=" and all letters.
+    return F.zip_with(template, tokens, lambda w, t: F.when((t < F.lit("\x03")) & (w >= F.lit("=")), F.lit("<name>")).otherwise(w))
 
-def _windows(template, size):
-    """The hashes of all windows of ``size`` words, by place; none if there are fewer words."""
-    places = F.sequence(F.lit(1), F.size(template) - (size - 1))
-    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(template, i, F.lit(size))))
-    return F.when(F.size(template) >= size, hashes).otherwise(F.array().cast("array<bigint>"))
+
+def _hashes(words):
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _windows(hashes, size):
+    """The hashes of all windows of ``size`` words, by place, from those of the words; none if there are fewer words."""
+    places = F.sequence(F.lit(1), F.size(hashes) - (size - 1))
+    found = F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, F.lit(size))))
+    return F.when(F.size(hashes) >= size, found).otherwise(F.array().cast("array<bigint>"))
 
 
 def benchmark_windows(items: DataFrame, ids="item_id", text="text", window=WINDOW) -> DataFrame:
-    """(item_id, size, place, hash, slots, n_windows) of all windows with enough literal words.
+    """(item_id, reading, size, place, hash, slots, n_windows) of all windows with enough literal words.
 
-    ``slots``: array of (place in the window, placeholder, value).
+    ``reading`` is 1 if words that may be names are taken as such, else 0; ``slots``: array of (place in the
+    window, placeholder, value). Items without such words have reading 0 only.
     """
     rows = items.select(F.col(ids).alias("item_id"), tokens_of(F.col(text)).alias("tokens")).where(F.size("tokens") >= MIN_WORDS)
-    rows = rows.withColumn("template", template_of(F.col("tokens"))).withColumn("size", F.least(F.size("tokens"), F.lit(window)))
-    places = rows.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("place"))
-    part = F.slice("template", F.col("place") + 1, F.col("size"))
+    rows = rows.withColumn("size", F.least(F.size("tokens"), F.lit(window)))
+    rows = rows.withColumn("plain", template_of(F.col("tokens"))).withColumn("named", with_names(F.col("plain"), F.col("tokens")))
+    readings = rows.withColumn("template", F.col("plain")).withColumn("reading", F.lit(0)).unionByName(
+        rows.where("named <> plain").withColumn("template", F.col("named")).withColumn("reading", F.lit(1))
+    )
+    places = readings.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("place"))
+    part = F.slice(_hashes(F.col("template")), F.col("place") + 1, F.col("size"))
     slots = F.filter(
         F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.struct(
             i.alias("at"),
             F.element_at("template", F.col("place") + i + 1).alias("kind"),
-            F.element_at("tokens", F.col("place") + i + 1).alias("value"),
+            word_of(F.element_at("tokens", F.col("place") + i + 1)).alias("value"),
         )),
         lambda s: s["kind"].isin("<name>", "<number>", "<unit>"),
     )
-    found = places.select("item_id", "size", "place", F.xxhash64(part).alias("hash"), slots.alias("slots"))
+    found = places.select("item_id", "reading", "size", "place", F.xxhash64(part).alias("hash"), slots.alias("slots"))
     found = found.where(F.size("slots") <= F.col("size") * (1 - MIN_LITERALS))
-    totals = found.groupBy("item_id").agg(F.countDistinct("place").alias("n_windows"))
-    return found.join(totals, "item_id")
+    totals = found.groupBy("item_id", "reading").agg(F.countDistinct("place").alias("n_windows"))
+    totals = totals.select(F.col("item_id").alias("total_id"), F.col("reading").alias("total_of"), "n_windows")
+    same = F.col("item_id").eqNullSafe(F.col("total_id")) & (F.col("reading") == F.col("total_of"))
+    return found.join(totals, same).drop("total_id", "total_of")
 
 
 def matched_windows(docs: DataFrame, windows: DataFrame, ids="doc_id", text="text") -> DataFrame:
-    """(doc_id, pos, item_id, place, slots, size, n_windows) for every window of an item in a document."""
+    """(doc_id, pos, item_id, reading, place, slots, size, n_windows) for every window of an item in a document."""
     small = windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     # At most as many sizes as words in a window.
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
-    templates = docs.select(F.col(ids).alias("doc_id"), template_of(tokens_of(F.col(text))).alias("template"))
-    found = None
+    words = docs.select(F.col(ids).alias("doc_id"), tokens_of(F.col(text)).alias("tokens"))
+    words = words.withColumn("template", template_of(F.col("tokens")))
+    words = words.select("doc_id", _hashes(F.col("template")).alias("plain"), _hashes(with_names(F.col("template"), F.col("tokens"))).alias("named"))
+    hashes, both = [F.col("doc_id")], []
     for size in sizes or [WINDOW]:
-        own = windows.where(F.col("size") == size)
-        rows = templates.select("doc_id", F.posexplode(_windows(F.col("template"), size)).alias("pos", "hash"))
-        hit = rows.join(F.broadcast(own) if small else own, "hash").drop("hash")
-        found = hit if found is None else found.unionByName(hit)
-    return found
+        hashes += [_windows(F.col(reading), size).alias(f"{reading}_{size}") for reading in ("plain", "named")]
+        # A window that is the same in both readings meets an item once.
+        both += [F.col(f"plain_{size}"), F.zip_with(f"named_{size}", f"plain_{size}", lambda n, p: F.when(n != p, n))]
+    rows = words.select(*hashes).select("doc_id", F.explode(F.array(*both)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "hash"))
+    return rows.where("hash is not null").join(F.broadcast(windows) if small else windows, "hash").drop("hash")
 
 
 def inconsistent(docs: DataFrame, matched: DataFrame, ids="doc_id", text="text") -> DataFrame:
-    """(doc_id, item_id, shift) of occurrences in which a slot value of the item or the document has two partners.
+    """(doc_id, item_id, reading, shift) of occurrences in which a slot value of the item or the document has two partners.
 
     An occurrence is an item at one shift between its places and the document's.
     """
-    slotted = matched.where(F.size("slots") > 0).select("doc_id", "item_id", "pos", (F.col("pos") - F.col("place")).alias("shift"), F.explode("slots").alias("slot"))
-    wanted = slotted.select("doc_id", "item_id", "shift", (F.col("pos") + F.col("slot.at")).alias("at"), F.col("slot.kind").alias("kind"), F.col("slot.value").alias("value")).distinct()
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "at", "kind", "value")).alias("wanted"))
+    slotted = matched.where(F.size("slots") > 0).select("doc_id", "item_id", "reading", "pos", (F.col("pos") - F.col("place")).alias("shift"), F.explode("slots").alias("slot"))
+    wanted = slotted.select("doc_id", "item_id", "reading", "shift", (F.col("pos") + F.col("slot.at")).alias("at"), F.col("slot.kind").alias("kind"), F.col("slot.value").alias("value")).distinct()
+    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "reading", "shift", "at", "kind", "value")).alias("wanted"))
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
     rows = docs.select(F.col(ids).alias("id"), F.col(text).alias("text")).join(by_doc, F.col("id").eqNullSafe(F.col("doc_id")))
-    rows = rows.select("doc_id", tokens_of(F.col("text")).alias("tokens"), "wanted").withColumn("template", template_of(F.col("tokens")))
+    rows = rows.select("doc_id", tokens_of(F.col("text")).alias("tokens"), "wanted").withColumn("template", with_names(template_of(F.col("tokens")), F.col("tokens")))
     seen = rows.select("doc_id", "tokens", "template", F.explode("wanted").alias("w"))
     # Another row with the same id has something else at this place.
     seen = seen.where(F.try_element_at("template", F.col("w.at") + 1) == F.col("w.kind"))
-    pairs = seen.select("doc_id", "w.item_id", "w.shift", "w.kind", "w.value", F.element_at("tokens", F.col("w.at") + 1).alias("other")).distinct()
-    there = pairs.groupBy("doc_id", "item_id", "shift", "kind", "value").agg(F.count("*").alias("n"))
-    back = pairs.groupBy("doc_id", "item_id", "shift", "kind", "other").agg(F.count("*").alias("n"))
-    keys = ["doc_id", "item_id", "shift"]
+    pairs = seen.select("doc_id", "w.item_id", "w.reading", "w.shift", "w.kind", "w.value", word_of(F.element_at("tokens", F.col("w.at") + 1)).alias("other")).distinct()
+    keys = ["doc_id", "item_id", "reading", "shift"]
+    there = pairs.groupBy(*keys, "kind", "value").agg(F.count("*").alias("n"))
+    back = pairs.groupBy(*keys, "kind", "other").agg(F.count("*").alias("n"))
     return there.where("n > 1").select(*keys).unionByName(back.where("n > 1").select(*keys)).distinct()
 
 
@@ -138,17 +170,23 @@ def contaminated(
     """
     windows = stored(benchmark_windows(items, item_ids, item_text), "windows")
     matched = stored(matched_windows(docs, windows, ids, text), "matched").withColumn("shift", F.col("pos") - F.col("place"))
-    bad = inconsistent(docs, matched, ids, text).select(*[F.col(c).alias(f"bad_{c}") for c in ("doc_id", "item_id", "shift")])
+    bad = inconsistent(docs, matched, ids, text).select(*[F.col(c).alias(f"bad_{c}") for c in ("doc_id", "item_id", "reading", "shift")])
     same = F.lit(True)
-    for c in ("doc_id", "item_id", "shift"):
+    for c in ("doc_id", "item_id", "reading", "shift"):
         same = same & F.col(c).eqNullSafe(F.col(f"bad_{c}"))
     good = matched.join(bad, same, "left_anti")
-    places = good.groupBy("doc_id", "item_id", "place").agg(F.min("pos").alias("pos"), F.max("n_windows").alias("n_windows"))
-    found = places.groupBy("doc_id", "item_id").agg(
-        F.max("n_windows").alias("n_windows"), F.count("*").alias("n_found"), F.min("pos").cast("long").alias("first_word")
-    )
+    # The windows of reading 0 may be found in either reading, those of reading 1 count by themselves, too.
+    totals = windows.groupBy("item_id", "reading").agg(F.max("n_windows").alias("n_windows"))
+    by_reading = good.select("doc_id", "item_id", "place", "pos", F.explode(F.when(F.col("reading") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("reading"))
+    places = by_reading.groupBy("doc_id", "item_id", "reading", "place").agg(F.min("pos").alias("pos"))
+    found = places.groupBy("doc_id", "item_id", "reading").agg(F.count("*").alias("n_found"), F.min("pos").cast("long").alias("first_word"))
+    totals = totals.select(F.col("item_id").alias("total_id"), F.col("reading").alias("total_of"), "n_windows")
+    same = F.col("item_id").eqNullSafe(F.col("total_id")) & (F.col("reading") == F.col("total_of"))
     share = F.col("n_found") / F.col("n_windows")
-    return found.where(share >= coverage).select("doc_id", "item_id", "n_windows", "n_found", share.alias("coverage"), "first_word")
+    best = found.join(totals, same).groupBy("doc_id", "item_id").agg(
+        F.max(F.struct(share.alias("coverage"), (-F.col("reading")).alias("order"), "n_windows", "n_found", "first_word")).alias("best")
+    )
+    return best.where(F.col("best.coverage") >= coverage).select("doc_id", "item_id", "best.n_windows", "best.n_found", "best.coverage", "best.first_word")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, ids="doc_id", text="text") -> DataFrame:

@@ -231,3 +231,13 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.classify(docs.limit(0), labels).count() == 0
     kept = toxicity.without_toxic(docs, labels)
     assert kept.columns == docs.columns and all(r.doc_id % 2 == 0 for r in kept.collect() if r.doc_id and r.doc_id >= 100)
+
+
+def test_templates_find_names_at_sentence_starts(spark):
+    texts = {1: "Tom has 5 apples. Tom buys 3 more apples. How many apples does Tom have?", 2: "Tom buys 12 pears for 3 dollars each."}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    docs = documents(spark, [
+        (1, "Well. " + texts[1].replace("Tom", "Anna").replace("5", "6").replace("3", "4")), (2, "So: Anna buys 7 pears for 20 cents each. Yes."), (3, texts[1]), (4, texts[2]),
+        (5, "Anna has 6 apples. Peter buys 4 more apples. How many apples does Mary have?"), (6, "Yesterday Anna buys 7 pears for 20 cents each."),
+    ])
+    assert sorted((r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()) == [(1, 1), (2, 2), (3, 1), (4, 2), (6, 2)]
