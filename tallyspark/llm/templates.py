@@ -9,6 +9,9 @@ other numbers or names is found, and a mere resemblance of placeholders is not.
 A capitalised word that begins a sentence may be a name or not, so templates are hashed in
 both readings: such words as they are, and all of them as names. The slot check is done
 for each reading of an item by itself.
+
+Windows with few literal words say too little as templates. Items that have any, and items of
+few words, are also looked for word for word: the hashes of their words as they are.
 All of it is DataFrame functions.
 """
 
@@ -19,7 +22,7 @@ from tallyspark.llm.texts import unused
 from tallyspark.session import stored
 
 WINDOW = 8
-# Items of fewer words name nothing in particular; a shorter item than a window is one window.
+# Items of fewer words are found word for word only; a shorter item than a window is one window.
 MIN_WORDS = 5
 # Literal words that a window needs: half of it.
 MIN_LITERALS = 0.5
@@ -43,6 +46,8 @@ UNITS = (
 
 # Marks of a name, and of a capitalised word that may be one or begin a sentence.
 NAME, EITHER = "\x01", "\x02"
+# Readings of an item: words that may be names as they are, as names, and all words as they are.
+PLAIN, NAMED, EXACT = 0, 1, 2
 _NAMES = r"(?<=[\p{L}\p{N},;:)\"']\s{1,3})(?=\p{Lu}\p{Ll})"
 _EITHER = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}\x01])"
 _INSIDE_NUMBER = r"(?<=[0-9])[.,:/](?=[0-9])"
@@ -82,6 +87,11 @@ def _hashes(words):
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _exact_hashes(tokens):
+    """Hashes of the words as they are, other ones than those of templates."""
+    return F.transform(tokens, lambda t: F.xxhash64(F.lit(EXACT), word_of(t)))
+
+
 def _windows(hashes, size):
     """The hashes of all windows of ``size`` words, by place, from those of the words; none if there are fewer words."""
     places = F.sequence(F.lit(1), F.size(hashes) - (size - 1))
@@ -92,17 +102,18 @@ def _windows(hashes, size):
 def benchmark_windows(items: DataFrame, ids="item_id", text="text", window=WINDOW) -> DataFrame:
     """(item_id, reading, size, place, hash, slots, n_windows) of all windows with enough literal words.
 
-    ``reading`` is 1 if words that may be names are taken as such, else 0; ``slots``: array of (place in the
-    window, placeholder, value). Items without such words have reading 0 only.
+    ``reading`` is ``PLAIN``, or ``NAMED`` with the words that may be names taken as such, if there are any;
+    ``slots``: array of (place in the window, placeholder, value). Items with too few literal words somewhere
+    have all windows word for word, too: ``EXACT``, without slots.
     """
-    rows = items.select(F.col(ids).alias("item_id"), tokens_of(F.col(text)).alias("tokens")).where(F.size("tokens") >= MIN_WORDS)
+    rows = items.select(F.col(ids).alias("item_id"), tokens_of(F.col(text)).alias("tokens")).where(F.size("tokens") > 0)
     rows = rows.withColumn("size", F.least(F.size("tokens"), F.lit(window)))
     rows = rows.withColumn("plain", template_of(F.col("tokens"))).withColumn("named", with_names(F.col("plain"), F.col("tokens")))
-    readings = rows.withColumn("template", F.col("plain")).withColumn("reading", F.lit(0)).unionByName(
-        rows.where("named <> plain").withColumn("template", F.col("named")).withColumn("reading", F.lit(1))
+    readings = (
+        rows.withColumn("template", F.col("plain")).withColumn("reading", F.lit(PLAIN))
+        .unionByName(rows.where("named <> plain").withColumn("template", F.col("named")).withColumn("reading", F.lit(NAMED)))
     )
-    places = readings.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("place"))
-    part = F.slice(_hashes(F.col("template")), F.col("place") + 1, F.col("size"))
+    places = F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("size"))).alias("place")
     slots = F.filter(
         F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.struct(
             i.alias("at"),
@@ -111,8 +122,20 @@ def benchmark_windows(items: DataFrame, ids="item_id", text="text", window=WINDO
         )),
         lambda s: s["kind"].isin("<name>", "<number>", "<unit>"),
     )
-    found = places.select("item_id", "reading", "size", "place", F.xxhash64(part).alias("hash"), slots.alias("slots"))
-    found = found.where(F.size("slots") <= F.col("size") * (1 - MIN_LITERALS))
+
+    def hashed(words):
+        return F.xxhash64(F.slice(words, F.col("place") + 1, F.col("size"))).alias("hash")
+
+    found = readings.select("*", places).select(
+        "item_id", "tokens", "reading", "size", "place", hashed(_hashes(F.col("template"))), slots.alias("slots")
+    )
+    literal = (F.size("tokens") >= MIN_WORDS) & (F.size("slots") <= F.col("size") * (1 - MIN_LITERALS))
+    exact = found.where((F.col("reading") == PLAIN) & ~literal).select("item_id", "tokens", "size").distinct().select("*", places)
+    exact = exact.select(
+        "item_id", F.lit(EXACT).alias("reading"), "size", "place", hashed(_exact_hashes(F.col("tokens"))),
+        F.array().cast(found.schema["slots"].dataType).alias("slots"),
+    )
+    found = found.where(literal).drop("tokens").unionByName(exact)
     totals = found.groupBy("item_id", "reading").agg(F.countDistinct("place").alias("n_windows"))
     totals = totals.select(F.col("item_id").alias("total_id"), F.col("reading").alias("total_of"), "n_windows")
     same = F.col("item_id").eqNullSafe(F.col("total_id")) & (F.col("reading") == F.col("total_of"))
@@ -122,17 +145,22 @@ def benchmark_windows(items: DataFrame, ids="item_id", text="text", window=WINDO
 def matched_windows(docs: DataFrame, windows: DataFrame, ids="doc_id", text="text") -> DataFrame:
     """(doc_id, pos, item_id, reading, place, slots, size, n_windows) for every window of an item in a document."""
     small = windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    # At most as many sizes as words in a window.
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
+    # At most twice as many as words in a window.
+    kinds = sorted(windows.select("size", F.col("reading") == EXACT).distinct().collect())
     words = docs.select(F.col(ids).alias("doc_id"), tokens_of(F.col(text)).alias("tokens"))
     words = words.withColumn("template", template_of(F.col("tokens")))
-    words = words.select("doc_id", _hashes(F.col("template")).alias("plain"), _hashes(with_names(F.col("template"), F.col("tokens"))).alias("named"))
-    hashes, both = [F.col("doc_id")], []
-    for size in sizes or [WINDOW]:
-        hashes += [_windows(F.col(reading), size).alias(f"{reading}_{size}") for reading in ("plain", "named")]
+    words = words.select(
+        "doc_id", _hashes(F.col("template")).alias("plain"), _hashes(with_names(F.col("template"), F.col("tokens"))).alias("named"),
+        _exact_hashes(F.col("tokens")).alias("exact"),
+    )
+    hashes, places = [F.col("doc_id")], []
+    for size, exact in kinds or [(WINDOW, False)]:
+        hashes += [_windows(F.col(reading), size).alias(f"{reading}_{size}") for reading in (["exact"] if exact else ["plain", "named"])]
         # A window that is the same in both readings meets an item once.
-        both += [F.col(f"plain_{size}"), F.zip_with(f"named_{size}", f"plain_{size}", lambda n, p: F.when(n != p, n))]
-    rows = words.select(*hashes).select("doc_id", F.explode(F.array(*both)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "hash"))
+        places += [F.col(f"exact_{size}")] if exact else [
+            F.col(f"plain_{size}"), F.zip_with(f"named_{size}", f"plain_{size}", lambda n, p: F.when(n != p, n))
+        ]
+    rows = words.select(*hashes).select("doc_id", F.explode(F.array(*places)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "hash"))
     return rows.where("hash is not null").join(F.broadcast(windows) if small else windows, "hash").drop("hash")
 
 
@@ -164,8 +192,8 @@ def contaminated(
     """(doc_id, item_id, n_windows, n_found, coverage, first_word) for each document and item it holds.
 
     At least ``coverage`` of the item's windows are in the document, in occurrences with consistent slots;
-    ``first_word`` is the first of them, in words from 0. Null and empty texts match nothing, items of fewer
-    than five words neither. Rows that share an id count as one document, null ids as another; items that
+    ``first_word`` is the first of them, in words from 0. The best reading of the item counts. Null and empty
+    texts match nothing; items of fewer than five words are found word for word. Rows that share an id count as one document, null ids as another; items that
     share an id count as one. Extra columns do not matter; empty tables give an empty one.
     """
     windows = stored(benchmark_windows(items, item_ids, item_text), "windows")
@@ -175,9 +203,10 @@ def contaminated(
     for c in ("doc_id", "item_id", "reading", "shift"):
         same = same & F.col(c).eqNullSafe(F.col(f"bad_{c}"))
     good = matched.join(bad, same, "left_anti")
-    # The windows of reading 0 may be found in either reading, those of reading 1 count by themselves, too.
+    # Windows of a template may be found in either reading; those with names count by themselves, too.
     totals = windows.groupBy("item_id", "reading").agg(F.max("n_windows").alias("n_windows"))
-    by_reading = good.select("doc_id", "item_id", "place", "pos", F.explode(F.when(F.col("reading") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("reading"))
+    both = F.when(F.col("reading") == NAMED, F.array(F.lit(PLAIN), F.lit(NAMED))).otherwise(F.array("reading"))
+    by_reading = good.select("doc_id", "item_id", "place", "pos", F.explode(both).alias("reading"))
     places = by_reading.groupBy("doc_id", "item_id", "reading", "place").agg(F.min("pos").alias("pos"))
     found = places.groupBy("doc_id", "item_id", "reading").agg(F.count("*").alias("n_found"), F.min("pos").cast("long").alias("first_word"))
     totals = totals.select(F.col("item_id").alias("total_id"), F.col("reading").alias("total_of"), "n_windows")

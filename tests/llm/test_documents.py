@@ -241,3 +241,16 @@ def test_templates_find_names_at_sentence_starts(spark):
         (5, "Anna has 6 apples. Peter buys 4 more apples. How many apples does Mary have?"), (6, "Yesterday Anna buys 7 pears for 20 cents each."),
     ])
     assert sorted((r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()) == [(1, 1), (2, 2), (3, 1), (4, 2), (6, 2)]
+
+
+def test_templates_find_any_item_word_for_word(spark):
+    texts = {
+        1: "What is 12 + 35 + 7 + 90 + 4?", 2: "Convert 3 km", 3: "Ada Lovelace, Alan Turing, Grace Hopper, Kurt Gödel and Emmy Noether", 4: "5 7",
+        5: "A sentence of plain words that goes on for a while: 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18",
+    }
+    items = spark.createDataFrame([*texts.items(), (6, "?!"), (7, None)], "item_id long, text string")
+    docs = documents(spark, [
+        *((i, f"Some words before. {t} And behind.") for i, t in texts.items()), (11, "What is 13 + 35 + 7 + 90 + 4?"), (12, "Convert 4 km"),
+        (13, "all of 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 again"), (None, None), (14, ""),
+    ])
+    assert sorted((r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()) == [(i, i) for i in texts] + [(13, 5)]
