@@ -4,7 +4,7 @@ Lines of at least five words count as equal up to one word replaced, added or le
 (four fifths of such a line agree at least). The earliest line stays, in the order of
 document ids and lines; a line goes if any earlier line is within the bound.
 
-Equal lines meet by a 128-bit hash. For near ones, every line emits its variants with one
+Equal lines meet by a 128-bit hash, on request those of fewer words as well. For near ones, every line emits its variants with one
 word deleted as hashed keys: equal variants with the gap at the same place are one
 replacement apart, and a variant that equals a whole line is one word longer. A key keeps
 its earliest line only, which every other line of the key is verified against, so no group
@@ -49,16 +49,18 @@ def _half_keys(words):
     return F.array_compact(F.array(*keys(half), *below))
 
 
-def numbered_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS) -> DataFrame:
-    """(doc_id, pos, h1, h2) and the half keys of every line of enough words."""
+def numbered_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS, short=False) -> DataFrame:
+    """(doc_id, pos, h1, h2) and the half keys of every line of enough words; ``short``: of all lines but blank ones, others without keys."""
     if min_words < MIN_WORDS:
         raise ValueError(f"one word of fewer than {MIN_WORDS} is more than a fifth of a line")
     lines = docs.select(F.col(ids).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))
     words = F.col("words")
+    enough = F.size(words) >= min_words
+    halves = F.when(enough, _half_keys(words)).alias("halves") if short else _half_keys(words).alias("halves")
     return (
         lines.select("doc_id", "pos", words_of(F.col("line")).alias("words"))
-        .where(F.size(words) >= min_words)
-        .select("doc_id", "pos", F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"), _half_keys(words).alias("halves"))
+        .where(words[0] != "" if short else enough)
+        .select("doc_id", "pos", F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"), halves)
     )
 
 
@@ -144,9 +146,9 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return (longer - shorter <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= longer - 1)
 
 
-def removed_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS) -> DataFrame:
-    """(doc_id, pos) of every line that has an earlier equal or near line, lines counted from 0."""
-    lines = stored(numbered_lines(docs, ids, text, min_words), "lines")
+def removed_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS, short=False) -> DataFrame:
+    """(doc_id, pos) of every line that has an earlier equal or near line, lines counted from 0; ``short``: equal lines of any length."""
+    lines = stored(numbered_lines(docs, ids, text, min_words, short), "lines")
     places = stored(first_places(lines), "places")
     candidates = stored(with_possible_partner(lines, places), "candidates")
     words = stored(_fetch(docs, candidates, ids, text), "words")
@@ -179,10 +181,10 @@ def _without(lines, gone):
     return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), stretch)), "\n")
 
 
-def _with_rest(docs, ids, text, min_words):
+def _with_rest(docs, ids, text, min_words, short=False):
     """``docs`` with two columns of new names: the text without the removed lines, and their places."""
     rest, gone, key = (unused(docs, name) for name in ("rest", "gone", "removed_id"))
-    removed = stored(removed_lines(docs, ids, text, min_words), "removed")
+    removed = stored(removed_lines(docs, ids, text, min_words, short), "removed")
     few = removed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     removed = removed.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list("pos")).alias(gone))
     if few:
@@ -203,15 +205,15 @@ def _with_rest(docs, ids, text, min_words):
     )
 
 
-def dedupe_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS) -> DataFrame:
+def dedupe_lines(docs: DataFrame, ids="doc_id", text="text", min_words=MIN_WORDS, short=False) -> DataFrame:
     """``docs`` with its own columns, ``text`` without the removed lines, and n_lines, removed (places of removed lines).
 
     Lines end at a line feed, words at ASCII white space, upper and lower case are the same. Lines of fewer
-    than ``min_words`` words stay. A null text stays null with no lines; other texts keep their order of lines. A row
+    than ``min_words`` words stay, or with ``short`` go if an earlier one is equal. A null text stays null with no lines; other texts keep their order of lines. A row
     with a null id comes before all others. Rows that share an id share their removed places. An
     empty table gives an empty table; columns named n_lines or removed are replaced.
     """
-    joined, rest, gone = _with_rest(docs.drop("n_lines", "removed"), ids, text, min_words)
+    joined, rest, gone = _with_rest(docs.drop("n_lines", "removed"), ids, text, min_words, short)
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n", -1))).cast("long")
     return joined.withColumns({"n_lines": n_lines, text: F.col(rest), "removed": F.col(gone)}).drop(rest, gone)
 
@@ -226,11 +228,11 @@ REPEATED = 0.8
 
 
 def without_repeated(docs: DataFrame, ids="doc_id", text="text", length="n_chars") -> DataFrame:
-    """``docs`` without repeated lines, with its own columns; a column ``length`` is counted anew.
+    """``docs`` without repeated lines, short ones too, with its own columns; a column ``length`` is counted anew.
 
     A document of which at least four fifths are removed was a copy, and goes as a whole. Null and empty texts stay.
     """
-    joined, rest, gone = _with_rest(docs, ids, text, MIN_WORDS)
+    joined, rest, gone = _with_rest(docs, ids, text, MIN_WORDS, short=True)
     before, after = F.length(text), F.length(rest)
     kept = joined.where((F.size(gone) == 0) | (before - after < REPEATED * before))
     columns = {text: F.col(rest)}

@@ -254,3 +254,10 @@ def test_templates_find_any_item_word_for_word(spark):
         (13, "all of 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 again"), (None, None), (14, ""),
     ])
     assert sorted((r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()) == [(i, i) for i in texts] + [(13, 5)]
+
+
+def test_short_lines_that_repeat_exactly_go(spark):
+    frame = documents(spark, [(1, "of, edti oner.\n\nsome more words of the first one\nYes."), (2, "Of,  EDTI oner.\n\nand other words that the second has\nof, edti"), (3, "other text here that is its own line\nyes.\n \n\n")])
+    rows = {r.doc_id: r for r in lines.dedupe_lines(frame, short=True).collect()}
+    assert {d: r.removed for d, r in rows.items()} == {1: [], 2: [0], 3: [1]}
+    assert {r.doc_id: r.text for r in lines.without_repeated(frame).collect()} == {d: r.text for d, r in rows.items()}
