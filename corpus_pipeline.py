@@ -21,7 +21,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier one has; a document that is four fifths repeated goes."""
+    """Documents without lines that an earlier one has; a document of which nothing but blank lines is left goes."""
     return lines.without_repeated(docs)
 
 

@@ -223,18 +223,13 @@ def digest(deduped: DataFrame) -> DataFrame:
     return deduped.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "text")
 
 
-# Share of a text that must be repeated for the rest of it to go as well.
-REPEATED = 0.8
-
-
 def without_repeated(docs: DataFrame, ids="doc_id", text="text", length="n_chars") -> DataFrame:
     """``docs`` without repeated lines, short ones too, with its own columns; a column ``length`` is counted anew.
 
-    A document of which at least four fifths are removed was a copy, and goes as a whole. Null and empty texts stay.
+    A document goes as a whole only if lines were removed and nothing but blank ones is left. Null and empty texts stay.
     """
     joined, rest, gone = _with_rest(docs, ids, text, MIN_WORDS, short=True)
-    before, after = F.length(text), F.length(rest)
-    kept = joined.where((F.size(gone) == 0) | (before - after < REPEATED * before))
+    kept = joined.where((F.size(gone) == 0) | F.col(rest).rlike(f"[^\n{BLANKS}]"))
     columns = {text: F.col(rest)}
     if length in docs.columns:
         columns[length] = F.length(rest).cast(docs.schema[length].dataType)

@@ -261,3 +261,10 @@ def test_short_lines_that_repeat_exactly_go(spark):
     rows = {r.doc_id: r for r in lines.dedupe_lines(frame, short=True).collect()}
     assert {d: r.removed for d, r in rows.items()} == {1: [], 2: [0], 3: [1]}
     assert {r.doc_id: r.text for r in lines.without_repeated(frame).collect()} == {d: r.text for d, r in rows.items()}
+
+
+def test_own_text_of_a_mostly_repeated_document_stays(spark):
+    shared = "\n".join(f"line {i} of the passage that both documents have {i * i}" for i in range(40))
+    own = "and these words only the second document has"
+    kept = lines.without_repeated(documents(spark, [(1, shared), (2, f"{shared}\n{own}\n"), (3, f"\n{shared}\n \t\n"), (4, " \n")]))
+    assert {r.doc_id: r.text for r in kept.collect()} == {1: shared, 2: f"{own}\n", 4: " \n"}
