@@ -1,7 +1,8 @@
 """Line dedup across documents by a deletion-neighbourhood join.
 
-Lines of at least five words count as equal up to one word replaced, added or left out
-(four fifths of such a line agree at least). The earliest line stays, in the order of
+Lines of at least five words count as equal up to one word replaced, added or left out,
+so four fifths of five words agree at least, and more of longer lines: two changed words of
+50 are too many (the README has figures). The earliest line stays, in the order of
 document ids and lines; a line goes if any earlier line is within the bound.
 
 Equal lines meet by a 128-bit hash, on request those of fewer words as well. For near ones, every line emits its variants with one
