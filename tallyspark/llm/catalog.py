@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, lattice, licences, lines, ngrams, pages, simhash, templates, toxicity
+from tallyspark.llm import bpe, chat, infill, lattice, licences, lines, ngrams, pages, simhash, templates, toxicity
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -83,3 +83,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngrams")
 def op1_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.score(table(spark, sf_dir, "documents"))
+
+
+@query("op11_infill")
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(infill.transform(table(spark, sf_dir, "documents")))
+
+
+SQL["op11_infill"] = infill.digest_sql()
