@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, infill, lattice, licences, lines, ngrams, pages, simhash, templates, toxicity
+from tallyspark.llm import bpe, chat, infill, lattice, licences, lines, ngrams, pages, resample, simhash, templates, toxicity, warc
 from tallyspark.llm.texts import table
 
 QUERIES = {}
@@ -91,3 +91,19 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_infill"] = infill.digest_sql()
+
+
+@query("op12_warc")
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+SQL["op12_warc"] = warc.digest_sql()
+
+
+@query("op13_resample")
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.digest(resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+SQL["op13_resample"] = resample.digest_sql()
