@@ -204,7 +204,8 @@ def resample(docs: DataFrame, target: DataFrame, ids="doc_id", text="text", targ
     each. Other columns do not matter. An empty table gives an empty table; without target words every
     gain compares with even smoothing. ``gains`` are one number per bucket and come to the driver.
     """
-    found = gains(bucket_counts(docs, text, buckets, longest), bucket_counts(target, target_text, buckets, longest), buckets)
+    corpus, wanted = (stored(bucket_counts(*part, buckets, longest), "counts") for part in ((docs, text), (target, target_text)))
+    found = gains(corpus, wanted, buckets)
     gain = [r["gain"] for r in sorted(found.collect(), key=lambda r: r["bucket"])]
     weighted = weights(docs, gain, ids, text, longest)
     scored = stored(weighted.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed)), "scored")
