@@ -103,20 +103,21 @@ def _fetch(docs, wanted, ids, text):
 def variant_keys(lines: DataFrame) -> DataFrame:
     """(line, n, i, rest, whole) for each word i of lines (line, words) of n words: hashes without the word, and of all.
 
-    A line's hash is the exclusive or of its words' hashes, each rotated by its place; without word i it
-    is that of the words before, and that of the words behind turned back by one place. Running sums
-    over the words' rows give both.
+    A line's hash is the exclusive or of the hashes of its words with their places. Without word i it is that of the
+    words before, and that of the words behind with their places less one. With x and y the hashes of a word at its
+    place and at the one before, that is the running exclusive or of both up to word i, the whole of y, and
+    word i's own x.
     """
     marks = lines.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).selectExpr(
-        "line", "n", "i", "xxhash64(word) as x"
-    ).selectExpr("line", "n", "i", "if(i % 64 = 0, x, shiftleft(x, i % 64) | shiftrightunsigned(x, 64 - i % 64)) as x")
-    line = Window.partitionBy("line")
-    summed = marks.withColumn("whole", F.bit_xor("x").over(line)).withColumn(
-        "upto", F.bit_xor("x").over(line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    return summed.selectExpr("*", "whole ^ upto as behind").selectExpr(
-        "line", "n", "i", "upto ^ x ^ (shiftrightunsigned(behind, 1) | shiftleft(behind, 63)) as rest", "whole"
+        "line", "n", "i", "xxhash64(word, i) as x", "xxhash64(word, i - 1) as y"
     )
+    line = Window.partitionBy("line")
+    summed = marks.withColumns({
+        "whole": F.bit_xor("x").over(line),
+        "behind": F.bit_xor("y").over(line),
+        "upto": F.bit_xor(F.col("x").bitwiseXOR(F.col("y"))).over(line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    })
+    return summed.selectExpr("line", "n", "i", "upto ^ x ^ behind as rest", "whole")
 
 
 def earliest_partners(variants: DataFrame) -> DataFrame:
