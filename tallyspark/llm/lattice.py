@@ -26,6 +26,8 @@ from tallyspark.session import stored
 
 # Vectors of a cell that one task compares with each other; a larger cell is cut into slices of this size.
 SLICE = 2000
+# Lengths of at most so many vectors have one cell for all of them, so that they are compared exactly.
+ONE_CELL = 64
 # Rows of smaller cells that one group gathers; the number of groups grows with the table.
 GATHERED = 20_000
 
@@ -119,6 +121,14 @@ def codes(unit, lattice):
     return own, probed
 
 
+def cells_of(unit, length, count, lattice=None):
+    """Own and probed cells of unit vectors of a length that ``count`` vectors have."""
+    if lattice is None and count <= ONE_CELL:
+        one = _mixed(np.full((len(unit), 1), length, dtype=np.uint64), 255)
+        return one, np.empty((len(unit), 1, 0), dtype=np.uint64)
+    return codes(unit, lattice or Lattice.for_size(count, length))
+
+
 def _mixed(code, table):
     code = (code ^ (code >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(table)
     return code ^ (code >> np.uint64(29))
@@ -221,11 +231,11 @@ def near_duplicates(vectors: DataFrame, ids="vec_id", embedding="embedding", thr
     distinct = stored(
         usable.groupBy("length", "mark", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight")), "distinct"
     )
-    sizes = {r["length"]: r["n"] for r in distinct.groupBy("length").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(1000).collect()}
-    lattices = {d: lattice or Lattice.for_size(n, d) for d, n in sizes.items()}
-    sent = stored(_cells(distinct, kind, lattices), "cells")
+    # One row per length; the lattice of a length follows from its count.
+    counts = distinct.groupBy("length").agg(F.count("*").alias("of_length"))
+    sent = stored(_cells(distinct.join(counts, "length"), kind, lattice), "cells")
     used = sent.groupBy("cell").agg(F.count("*").alias("n"), F.count_if(~F.col("probing")).alias("own")).where("own > 0 and n > 1")
-    groups = 1 + sum(n * lattices[d].tables * (1 + lattices[d].probes) for d, n in sizes.items()) // GATHERED
+    groups = 1 + sent.count() // GATHERED
     slices = F.ceil(F.col("n") / SLICE).cast("int")
     dealt = (
         sent.join(used, "cell")
@@ -235,18 +245,18 @@ def near_duplicates(vectors: DataFrame, ids="vec_id", embedding="embedding", thr
         .withColumn("first", F.least("slice", "other"))
         .withColumn("second", F.greatest("slice", "other"))
         .withColumn("gathered", F.when(F.col("slices") == 1, F.pmod("cell", F.lit(groups))).otherwise(F.col("cell")))
-        .select("gathered", "cell", "first", "second", "slice", "slices", "length", "id", "mark", "weight", "probing", "raw")
+        .select("gathered", "cell", "first", "second", "slice", "slices", "length", "of_length", "id", "mark", "weight", "probing", "raw")
     )
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         # A vector may be stored in a cell and probe it from another table: the stored row stands for it.
         rows = rows.sort_values(["cell", "id", "mark", "probing"]).drop_duplicates(["cell", "id", "mark"])
-        own_lattice = lattices[int(rows["length"].iloc[0])]
+        length, count = int(rows["length"].iloc[0]), int(rows["of_length"].iloc[0])
         id_, mark, weight = (rows[c].to_numpy() for c in ("id", "mark", "weight"))
         cell, here, side = rows["cell"].to_numpy().view(np.uint64), ~rows["probing"].to_numpy(), (rows["slice"] == rows["first"]).to_numpy()
         two_sides = rows["first"].iloc[0] != rows["second"].iloc[0]
         unit = unit_rows(rows["raw"], kind)
-        own, probed = codes(unit, own_lattice)
+        own, probed = cells_of(unit, length, count, lattice)
         out = []
         starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         for a, b in zip(starts, np.r_[starts[1:], len(rows)]):
@@ -281,25 +291,24 @@ def near_duplicates(vectors: DataFrame, ids="vec_id", embedding="embedding", thr
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _cells(distinct, kind, lattices):
+def _cells(distinct, kind, lattice):
     """A row for each distinct vector and cell that it is stored in or probes."""
 
     def run(batches):
         for batch in batches:
             frame = batch.to_pandas()
-            for length, part in frame.groupby("length"):
-                if length not in lattices:
-                    continue
+            for (length, count), part in frame.groupby(["length", "of_length"]):
                 for start in range(0, len(part), 2000):
                     chunk = part.iloc[start : start + 2000]
                     raw = [np.asarray(v, dtype=kind).tobytes() for v in chunk["vector"]]
-                    own, probed = codes(unit_rows(raw, kind), lattices[length])
+                    own, probed = cells_of(unit_rows(raw, kind), int(length), int(count), lattice)
                     cells = np.concatenate([own, probed.reshape(len(raw), -1)], axis=1)
                     copies = cells.shape[1]
                     at = np.repeat(np.arange(len(raw)), copies)
                     yield pa.RecordBatch.from_pydict({
                         "cell": cells.ravel().view(np.int64),
                         "length": np.full(len(at), length, dtype=np.int32),
+                        "of_length": np.full(len(at), count, dtype=np.int64),
                         "id": chunk["id"].to_numpy()[at],
                         "mark": chunk["mark"].to_numpy()[at],
                         "weight": chunk["weight"].to_numpy()[at],
@@ -307,4 +316,4 @@ def _cells(distinct, kind, lattices):
                         "raw": pa.array(raw, pa.binary()).take(pa.array(at)),
                     })
 
-    return distinct.mapInArrow(run, "cell bigint, length int, id bigint, mark bigint, weight bigint, probing boolean, raw binary")
+    return distinct.mapInArrow(run, "cell bigint, length int, of_length bigint, id bigint, mark bigint, weight bigint, probing boolean, raw binary")
