@@ -16,15 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Elements by what they mean for text, and the words of class, id and role.
-RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object", "select", "datalist"}
+RAW = {"script", "style", "noscript", "title", "textarea", "iframe"}
+SKIPPED = {"svg", "select", "datalist", "object", "template"}
+BREAKS_OUT = re.compile(r"<(?:p|div|h[1-6]|ul|ol|dl|table|article|section|main|blockquote|pre)[\s/>]", re.I)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
     "mark", "output", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp",
+    "math", "mi", "mn", "mo", "mrow", "msub", "msup", "msubsup", "mfrac", "msqrt", "mroot", "mtext", "mspace", "mstyle", "munder", "mover", "munderover", "semantics",
 }
 CLOSED_BY_BLOCK = {"p"}
 ITEMS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-BOILERPLATE_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "legend", "figcaption"}
+BOILERPLATE_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "legend"}
 CONTENT_TAGS = {"article", "main"}
 BOILERPLATE_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|sidebars?|side-?bar|"
@@ -32,6 +35,12 @@ BOILERPLATE_WORDS = re.compile(
     r"discussion|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|subscription|signup|login|notices?|notification|alerts?|"
     r"popup|modal|overlay|pager|pagination|widgets?|copyright|legal|disclaimer|skip|search|searchbox|contentinfo|complementary|form|tags|toc)(?:$|[\s_-])"
 )
+MODIFIERS = set(
+    "left right top bottom center centre upper lower first last main primary secondary global local site page web blog post article content entry story "
+    "block blocks box boxes area areas section sections container wrapper wrap list lists item items inner outer bar bars panel group row col column "
+    "link links button btn title text body head icon icons image img small large big mobile desktop sticky fixed floating inline slot unit region zone "
+    "module component holder header footer the and of in to by for form user new js ui".split()
+)
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:content|article|articlebody|post|entry|main|story|body|text|prose)(?:$|[\s_-])")
 BOILERPLATE_TEXT = re.compile(r"\bcookies?\b|\bsubscribe\b|\bsign up\b|\bnewsletter\b|\badvertisement\b|\ball rights reserved\b|©|\bprivacy policy\b|\blog in\b", re.I)
 # End of fixed values.
@@ -46,17 +55,18 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|di
 IN_BOILERPLATE, IN_CONTENT, CONTENT_CLASS, OUTSIDE, HEADER_INSIDE = -800, 400, 200, -250, -200
 SHORT, PER_CHARACTER, LONG, PER_LINK, HEADING, SENTENCE, CUE = -100, 2, 300, -400, 150, 50, -250
 ADJACENT, SIBLINGS = 150, 100
+# A class name that has a word of boilerplate among words that are no page furniture.
+HALF_MARKED = -100
 
 
 class _Element:
-    __slots__ = ("tag", "depth", "parent", "bad", "good", "inside", "link")
+    __slots__ = ("tag", "depth", "parent", "bad", "good", "inside")
 
     def __init__(self, tag, parent, rest):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.bad, self.good = (parent.bad, parent.good) if parent else (0, 0)
         self.inside = bool(parent and parent.inside) or tag in CONTENT_TAGS
-        self.link = bool(parent and parent.link) or tag == "a"
         if tag in BOILERPLATE_TAGS:
             self.bad = IN_BOILERPLATE
         elif tag == "header":
@@ -66,13 +76,25 @@ class _Element:
         if rest and tag not in ("html", "body"):
             said = " ".join(b or c or d for _, b, c, d in ATTRIBUTE.findall(rest)).lower()
             if said and BOILERPLATE_WORDS.search(said) and tag not in CONTENT_TAGS | {"h1"} or said and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", said):
-                self.bad = IN_BOILERPLATE
-            elif said and CONTENT_WORDS.search(said):
+                self.bad = min(self.bad, _mark(said))
+            if self.bad > IN_BOILERPLATE and said and CONTENT_WORDS.search(said):
                 self.good = max(self.good, CONTENT_CLASS)
             if HIDDEN.search(rest):
                 self.bad = IN_BOILERPLATE
 
 
+def _mark(said):
+    """How much a class, id or role that has a word of boilerplate speaks against an element.
+
+    All of it if some name consists of such words and of page furniture, and no other name says content; else a part.
+    """
+    names = said.split()
+    whole = [n for n in names if BOILERPLATE_WORDS.search(n) and all(BOILERPLATE_WORDS.search(w) or w in MODIFIERS or w.isdigit() for w in re.split("[_-]+", n) if w)]
+    content = any(CONTENT_WORDS.search(n) and not BOILERPLATE_WORDS.search(n) for n in names)
+    telling = [n for n in whole if not content or n in ("comments", "comment", "sidebar", "footer", "header", "nav", "menu")]
+    return IN_BOILERPLATE if telling else HALF_MARKED
+
+
 class _Block:
     __slots__ = ("text", "element", "linked", "heading")
 
@@ -80,18 +102,29 @@ class _Block:
         self.text, self.element, self.linked, self.heading = text, element, linked, heading
 
 
+def _closed(page, name):
+    """{end of an opening tag: (start, end) of the closing tag that belongs to it} of all elements of a name."""
+    found, open_ = {}, []
+    for tag in re.finditer(f"<(/?){re.escape(name)}(?=[\\s/>])[^>]*>", page, re.I):
+        if not tag[1]:
+            open_.append(tag.end())
+        elif open_:
+            found[open_.pop()] = tag.span()
+    return found
+
+
 def blocks_of(page):
     """The text blocks of an html text in order, outside of scripts, styles and the like."""
     root = _Element("", None, "")
-    stack, blocks, parts, linked = [root], [], [], 0
+    # Elements but inline ones; of those only an open link matters, and the height of the stack it was opened at.
+    stack, blocks, parts, linked, link, closed = [root], [], [], 0, None, {}
 
     def flush():
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            element = next(e for e in reversed(stack) if e.tag not in INLINE)
             heading = any(e.tag in ("h1", "h2", "h3") for e in stack[-4:])
-            blocks.append(_Block(text, element, min(1.0, linked / len(text)), heading))
+            blocks.append(_Block(text, stack[-1], min(1.0, linked / len(text)), heading))
         parts.clear()
         linked = 0
 
@@ -99,13 +132,15 @@ def blocks_of(page):
         nonlocal linked
         if text:
             parts.append(text)
-            if stack[-1].link:
+            if link is not None:
                 linked += len(text)
 
     def pop_to(i):
-        if any(e.tag not in INLINE for e in stack[i:]):
-            flush()
+        nonlocal link
+        flush()
         del stack[i:]
+        if link is not None and link > len(stack):
+            link = None
 
     at, end = 0, len(page)
     while at < end:
@@ -122,19 +157,29 @@ def blocks_of(page):
         if found["end"]:
             if name == "br":
                 parts.append(" ")
-                continue
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
-            if i and not (name in INLINE and any(e.tag not in INLINE for e in stack[i:])):
-                pop_to(i)
-            elif name not in INLINE:
-                flush()
+            elif name == "a":
+                link = None
+            elif name not in INLINE and name not in SKIPPED:
+                i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
+                if i:
+                    pop_to(i)
+                else:
+                    flush()
             continue
-        if name in RAW:
-            if name not in ("title", "svg", "math") and name not in INLINE:
+        if name in RAW or name in SKIPPED:
+            if name not in ("title", "svg") and name not in INLINE:
                 flush()
-            close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(page, at)
-            if found["rest"].endswith("/") and name in ("svg", "math"):
+            if found["rest"].endswith("/") and name in SKIPPED:
                 continue
+            if name in SKIPPED:
+                if name not in closed:
+                    closed[name] = _closed(page, name)
+                start, after = closed[name].get(at, (0, 0))
+                # Without an end of its own, or with paragraphs before it where they cannot be, the tag alone goes.
+                if after and not (name in ("svg", "select", "datalist") and BREAKS_OUT.search(page, at, start)):
+                    at = after
+                continue
+            close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(page, at)
             if not close:
                 break
             shut = page.find(">", close.end())
@@ -146,16 +191,18 @@ def blocks_of(page):
             elif name == "hr":
                 flush()
             continue
-        if name not in INLINE:
-            flush()
-            if (i := next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in CLOSED_BY_BLOCK or stack[i].tag not in INLINE), 0)) and stack[i].tag in CLOSED_BY_BLOCK:
+        if name in INLINE:
+            if name == "a" and not found["rest"].endswith("/"):
+                link = len(stack)
+            continue
+        flush()
+        if stack[-1].tag in CLOSED_BY_BLOCK:
+            pop_to(len(stack) - 1)
+        if name in ITEMS:
+            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name or stack[i].tag in ITEMS[name]), 0)
+            if i and stack[i].tag == name:
                 pop_to(i)
-            if name in ITEMS:
-                i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name or stack[i].tag in ITEMS[name]), 0)
-                if i and stack[i].tag == name:
-                    pop_to(i)
-        if not found["rest"].endswith("/") or name not in INLINE:
-            stack.append(_Element(name, stack[-1], found["rest"]))
+        stack.append(_Element(name, stack[-1], found["rest"]))
     flush()
     return blocks
 
