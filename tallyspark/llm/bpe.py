@@ -7,6 +7,7 @@ the whole operator is one pass over the table without a shuffle.
 """
 
 import json
+import struct
 import unicodedata
 
 import numpy as np
@@ -16,9 +17,8 @@ from pyspark.sql import DataFrame
 
 from tallyspark.llm.texts import slices
 
-# Distinct words, and strings between spaces, that a worker remembers; it starts anew when they are
-# full. Only speed depends on it.
-REMEMBERED_WORDS = 250_000
+# Strings between spaces, and words in them, that a worker remembers. Only speed depends on it.
+REMEMBERED = 400_000
 # Documents that are encoded before their results leave the worker.
 ROWS_AT_ONCE = 500
 
@@ -54,12 +54,15 @@ def merge(symbols, ranks):
         return symbols
     size = 1 << (n - 2).bit_length() if n > 2 else 1
     none = (len(ranks) + 1) * n
-    tree = [none] * (2 * size)
     rank = ranks.get
-    for i in range(n - 1):
-        found = rank((symbols[i], symbols[i + 1]))
+    tree = [none] * (2 * size)
+    at, left = size, symbols[0]
+    for right in symbols[1:]:
+        found = rank((left, right))
         if found:
-            tree[size + i] = found[0] * n + i
+            tree[at] = found[0] * n + at - size
+        at += 1
+        left = right
     for i in range(size - 1, 0, -1):
         left, right = tree[2 * i], tree[2 * i + 1]
         tree[i] = left if left < right else right
@@ -70,38 +73,42 @@ def merge(symbols, ranks):
         new = symbols[i] = rank((symbols[i], symbols[j]))[1]
         symbols[j] = None
         k = after[i] = after[j]
-        changed = []
+        # The pair at i is another one now, that at j is gone, and so is what stood before i.
+        value = none
         if k < n:
             before[k] = i
             found = rank((new, symbols[k]))
-            changed.append((i, found[0] * n + i if found else none))
-            changed.append((j, none))
-        else:
-            changed.append((i, none))
+            if found:
+                value = found[0] * n + i
+            if tree[size + j] != none:
+                _set(tree, size + j, none)
+        _set(tree, size + i, value)
         h = before[i]
         if h >= 0:
             found = rank((symbols[h], new))
-            changed.append((h, found[0] * n + h if found else none))
-        for at, value in changed:
-            at += size
-            if tree[at] == value:
-                continue
-            tree[at] = value
-            while at > 1:
-                other = tree[at ^ 1]
-                if other < value:
-                    value = other
-                at >>= 1
-                if tree[at] == value:
-                    break
-                tree[at] = value
+            value = found[0] * n + h if found else none
+            if tree[size + h] != value:
+                _set(tree, size + h, value)
     return [s for s in symbols if s is not None]
 
 
+def _set(tree, at, value):
+    """A new value at a leaf, and the least of two upwards as far as it changes."""
+    tree[at] = value
+    while at > 1:
+        other = tree[at ^ 1]
+        if other < value:
+            value = other
+        at >>= 1
+        if tree[at] == value:
+            return
+        tree[at] = value
+
+
 class Tokenizer:
-    """Encoder and decoder of one vocabulary file."""
+    """Encoder and decoder of one vocabulary file; it remembers about ``remembered`` strings."""
 
-    def __init__(self, path):
+    def __init__(self, path, remembered=REMEMBERED):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -120,48 +127,69 @@ class Tokenizer:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
         self.split = regex.compile(_pattern(spec["pre_tokenizer"]))
-        self.words = Remembered(self.word)
-        self.chunks = Remembered(lambda chunk: b"".join(map(self.words.__getitem__, self.split.findall(chunk))))
+        self.known = Remembered(self.chunk, remembered)
 
     def word(self, word):
-        """The ids of one word, packed."""
+        """The ids of one word."""
         raw = word.encode("utf-8")
         ids = [self.inner[b] for b in raw]
         ids[-1] = self.final[raw[-1]]
-        return packed(merge(ids, self.ranks))
+        return merge(ids, self.ranks)
+
+    def chunk(self, chunk):
+        """(packed ids, decoded text) of a string between spaces; the words in a longer one are remembered themselves."""
+        words = self.split.findall(chunk)
+        if len(words) == 1 and words[0] == chunk:
+            ids = self.word(chunk)
+            return packed(ids), " ".join(map(self.tokens.__getitem__, ids))
+        if len(words) == 1:
+            return self.known[words[0]]
+        parts = [self.known[w] for w in words]
+        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
 
     def encode(self, text):
-        """The ids of a whole text as little-endian unsigned 32-bit integers; no word crosses a space."""
+        """(ids of a whole text as little-endian unsigned 32-bit integers, decoded text); no word crosses a space.
+
+        Without a decoder in the file, the decoded text is the tokens joined by one space.
+        """
         found = []
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.special:
-                found.append(packed([self.special[part]]))
+                found.append((packed([self.special[part]]), part))
             else:
-                found += map(self.chunks.__getitem__, normalise(part).replace("\n", " ").split(" "))
-        return b"".join(found)
+                found += map(self.known.__getitem__, normalise(part).replace("\n", " ").split(" "))
+        # Strings without a word have no ids and no text.
+        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[0]])
 
     def decode(self, ids):
-        """The text of packed ids: without a decoder in the file, tokens are joined by one space."""
+        """The text of packed ids."""
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class Remembered(dict):
-    """Results by string; starts anew when full, and forgets strings of the size of a text."""
+    """Results by string, of two generations: what was not asked for since the last one began is forgotten.
+
+    Both together hold about ``size`` strings; strings of the size of a text are not kept.
+    """
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, size):
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
-        made = self.make(key)
-        if len(key) <= 64:
-            if len(self) >= REMEMBERED_WORDS:
-                self.clear()
-            self[key] = made
+        made = self.old.pop(key, None)
+        if made is None:
+            made = self.make(key)
+            if len(key) > 64:
+                return made
+        if len(self) >= self.size // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = made
         return made
 
 
 def packed(ids):
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def normalise(text):
@@ -183,31 +211,31 @@ def _pattern(pre_tokenizer):
 _LOADED = {}
 
 
-def loaded(path):
+def loaded(path, remembered=REMEMBERED):
     """The tokenizer of a file, once per worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Tokenizer(path)
-    return _LOADED[path]
+    if (path, remembered) not in _LOADED:
+        _LOADED[path, remembered] = Tokenizer(path, remembered)
+    return _LOADED[path, remembered]
 
 
-def encode_documents(docs: DataFrame, path, text="text", ids="doc_id") -> DataFrame:
+def encode_documents(docs: DataFrame, path, text="text", ids="doc_id", remembered=REMEMBERED) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), decoded text, for every row of ``docs``.
 
     Null text counts as empty: no ids and an empty decoded text. Repeated ids give
     repeated rows, a null id stays null; other columns of ``docs`` do not matter, and an
-    empty table gives an empty table. ``path`` must exist on every executor.
+    empty table gives an empty table. ``path`` must exist on every executor. A worker remembers about
+    ``remembered`` strings (some 300 bytes each); the result does not depend on it.
     """
 
     def run(batches):
-        tokenizer = loaded(path)
+        tokenizer = loaded(path, remembered)
         for batch in slices(batches, ROWS_AT_ONCE):
-            counts, raws, decoded = [], [], []
-            for text in batch.column(1):
-                raws.append(tokenizer.encode(text.as_py() or ""))
-                counts.append(len(raws[-1]) // 4)
-                decoded.append(tokenizer.decode(raws[-1]))
+            made = [tokenizer.encode(text.as_py() or "") for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(raws, pa.binary()), pa.array(decoded, pa.string())],
+                [
+                    batch.column(0), pa.array([len(m[0]) // 4 for m in made], pa.int64()), pa.array([m[0] for m in made], pa.binary()),
+                    pa.array([m[1] for m in made], pa.string()),
+                ],
                 names=["doc_id", "n_tokens", "ids", "decoded"],
             )
 
