@@ -268,3 +268,44 @@ def test_own_text_of_a_mostly_repeated_document_stays(spark):
     own = "and these words only the second document has"
     kept = lines.without_repeated(documents(spark, [(1, shared), (2, f"{shared}\n{own}\n"), (3, f"\n{shared}\n \t\n"), (4, " \n")]))
     assert {r.doc_id: r.text for r in kept.collect()} == {1: shared, 2: f"{own}\n", 4: " \n"}
+
+
+def test_lines_of_more_than_64_words(spark):
+    words = [f"w{i}" for i in range(130)]
+    swapped = list(words)
+    swapped[3], swapped[67] = swapped[67], swapped[3]
+    near = list(words)
+    near[100] = "other"
+    docs = [(1, " ".join(swapped)), (2, " ".join(words)), (3, " ".join(near)), (4, " ".join(words[:60] + words[61:]))]
+    random = np.random.default_rng(4)
+    for k in range(40):
+        base = [f"x{v}" for v in random.integers(0, 30, int(random.integers(65, 400)))]
+        docs.append((10 + 3 * k, " ".join(base)))
+        place, other = (int(v) for v in random.choice(len(base), 2, replace=False))
+        for n in (1, 2):
+            copy = list(base)
+            if k % 3 == 0:
+                copy[place] = f"y{n}"
+            elif k % 3 == 1:
+                del copy[place]
+            else:
+                copy[place], copy[other] = copy[other], copy[place]
+            docs.append((10 + 3 * k + n, " ".join(copy)))
+    rows = lines.dedupe_lines(documents(spark, docs)).collect()
+    assert {r.doc_id: r.removed for r in rows} == brute.removed_lines(docs)
+    assert {r.doc_id: r.removed for r in rows}[3] == [0]
+
+
+def test_what_bpe_remembers_changes_nothing(spark, given):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(catalog.tokenizer_file())
+    texts = [t or "" for _, t in given[:60]] + ["", " ", "\n", "<|endoftext|>x <|startoftext|>", "word" * 30_000, "ordinary text, and more of it. " * 40_000]
+    for remembered in (4, 100, 400_000):
+        mine = bpe.Tokenizer(catalog.tokenizer_file(), remembered)
+        for text in texts:
+            ids, decoded = mine.encode(text)
+            want = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+            assert mine.decode(ids) == decoded
+        assert len(mine.known) + len(mine.known.old) <= remembered

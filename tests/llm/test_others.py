@@ -1,6 +1,8 @@
 """Operators on conversations, licences, vectors and pages, the trie's sequences, and the pipeline."""
 
 import hashlib
+import time
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -113,6 +115,17 @@ def test_lattice_probing_finds_pairs_of_a_larger_index():
         assert (lattice.first_meeting(own, probed, other, other_probed) != 0).mean() > 0.93
 
 
+def test_vectors_of_many_lengths_all_find_their_twins(spark):
+    random = np.random.default_rng(9)
+    rows = []
+    for length in range(1, 1010):
+        v = random.normal(size=length)
+        rows += [(2 * length, v.tolist()), (2 * length + 1, (v * 3 + 1e-3 * random.normal(size=length) * (length > 1)).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = lattice.near_duplicates(frame).collect()
+    assert len(found) == 2018 and all(r.n_links == 1 and r.component_id == r.vec_id // 2 * 2 for r in found)
+
+
 def test_lattice_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [1.0, nan]), (6, [inf, 1.0]), (7, [1.0, 1e-3]), (8, [2.0, 2e-3]), (8, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (10, [1e300, 1e297])]
@@ -213,3 +226,97 @@ def test_pipeline_stages_agree_with_the_operators(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     key = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted(map(tuple, last.select(key).collect())) == sorted(map(tuple, corpus_pipeline.run(spark, SF).select(key).collect()))
+
+
+# --- Pages: what must not be lost ---------------------------------------------
+
+
+def paragraphs():
+    return [f"Paragraph {i} has a fairly long text that goes on for a while, so that nobody could take it for a menu or such." for i in range(6)]
+
+
+def kept_of(page):
+    return [text for text, keep in pages.main_blocks(page) if keep]
+
+
+@pytest.mark.parametrize("tag", ["svg", "select", "math", "object", "datalist", "template"])
+def test_unclosed_elements_take_no_text_away(tag):
+    body = "".join(f"<p>{p}</p>" for p in paragraphs())
+    assert kept_of(f"<article><p>{paragraphs()[0]}</p><{tag}>{body}</article>")[1:] == paragraphs()
+    assert kept_of(f"<article><{tag}>{body}<{tag}></{tag}></article>") == paragraphs()
+    hidden = kept_of(f"<article>{body}<{tag}><i>hidden words</i></{tag}></article>")
+    assert hidden[:6] == paragraphs() and (tag == "math") == any("hidden" in t for t in hidden)
+
+
+@pytest.mark.parametrize("name", ["social-science", "toc-article post", "legal news-story", "post tags-politics"])
+def test_class_names_with_other_words_are_no_boilerplate(name):
+    body = "".join(f"<p>{p}</p>" for p in paragraphs())
+    assert kept_of(f'<html><body><div class="{name}">{body}</div></body></html>') == paragraphs()
+
+
+@pytest.mark.parametrize("name", ["sidebar", "social-share", "footer-links", "nav menu", "cookie-banner", "ad", "comments post", "promo-box-2"])
+def test_page_furniture_goes(name):
+    body = "".join(f"<p>{p}</p>" for p in paragraphs())
+    page = f'<html><body><article>{body}</article><div class="{name}"><p>{paragraphs()[0]}</p></div></body></html>'
+    assert kept_of(page) == paragraphs()
+
+
+def test_captions_and_formulas_stay():
+    page = (
+        f"<article><p>{paragraphs()[0]}</p><p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> is large and this is long enough to be read.</p>"
+        f"<figure><img src=a><figcaption>A caption of a figure that belongs to the article.</figcaption></figure><p>{paragraphs()[1]}</p></article>"
+    )
+    assert kept_of(page)[1:3] == ["The sum x+1 is large and this is long enough to be read.", "A caption of a figure that belongs to the article."]
+
+
+def test_unclosed_inline_tags_cost_no_more_than_their_number():
+    start = time.process_time()
+    assert kept_of("<article><p>" + "<b>word " * 40_000) == [" ".join(["word"] * 40_000)]
+    assert time.process_time() - start < 2
+
+
+class Plain(HTMLParser):
+    """Another reading of a page: the text of its blocks inside article elements, by the library's own parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.blocks, self.parts = [], [], []
+
+    def close_block(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.blocks.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in pages.VOID:
+            self.parts.append(" " if tag == "br" else "")
+        elif tag not in pages.INLINE:
+            self.close_block()
+            self.open.append((tag, dict(attrs)))
+
+    def handle_endtag(self, tag):
+        if tag not in pages.INLINE and any(t == tag for t, _ in self.open):
+            self.close_block()
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        tags = {t for t, _ in self.open}
+        if "article" in tags and not tags & {"script", "style", "nav", "aside", "footer", "form", "header"}:
+            self.parts.append(data)
+
+
+def test_articles_of_given_pages_against_another_parser(spark):
+    """Every block of an article element that another parser finds is in the text, unless its class says that it is not of it."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    found = {r.page_id: r.text for r in pages.extract(spark.read.parquet(f"{SF}/pages.parquet")).collect()}
+    seen = missed = 0
+    for r in rows:
+        reader = Plain()
+        reader.feed(r.html or "")
+        reader.close()
+        long = [b for b in reader.blocks if len(b) > 150]
+        seen += len(long)
+        missed += sum(b not in found[r.page_id] for b in long)
+    assert seen > 50 and missed <= 0.02 * seen
