@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.llm import bpe, lines, simhash, templates, toxicity
 from tallyspark.llm.catalog import tokenizer_file
 from tallyspark.llm.texts import table
-from tallyspark.session import shared_dir
+from tallyspark.session import discard, shared_dir
+
+
+REMEMBERED = 250_000
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +40,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digests of the ids and of the decoded text of each document."""
-    return bpe.digest(bpe.encode_documents(docs, tokenizer_file()))
+    # Workers still hold what earlier stages have left with them.
+    return bpe.digest(bpe.encode_documents(docs, tokenizer_file(), remembered=REMEMBERED))
 
 
 STAGES = [
@@ -55,9 +59,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
