@@ -1,12 +1,17 @@
 """Registered queries on samples, features, metrics, clusters, neighbours and models."""
 
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PARTIES
 from ..operators import clusters, evaluate, features, knn, likelihood, models, splits, totals
 from ..operators import explore as ex
-from ..session import cut_lineage, union_all
+from ..operators.side_by_side import side_by_side
+from ..session import cut_lineage, discard, shared_dir, union_all
+from ..sources import sinks
 from .catalog import query
 from .ledger import CUTOFF
 
@@ -544,30 +549,28 @@ def _model_splits(g):
 
 @query
 def party_model_comparison(g):
-    """Logistic regression, forest and boosting on all features and on demographics only."""
-    tables = []
-    for name, kind in (("full", features.FULL), ("demo", features.DEMOGRAPHIC)):
+    """Logistic regression, forest, boosting and SVM at their defaults, on all features and on demographics only."""
+
+    def of(kind):
         (train, val, _), _ = features.prepare(*_model_splits(g), kind)
-        made = {
-            "Logistic Regression": models.logistic(train.count()),
-            "Random Forest": models.forest_classifier(trees=20, depth=10, leaf=5),
-            "Gradient Boosting": models.boosted_classifier(trees=5, depth=3),
-        }
-        _, metrics = models.party_classifiers(train, val, made)
-        tables.append(metrics.withColumn("features", F.lit(name)))
-    return union_all(tables)
+        return models.party_classifiers(train, val, models.default_party_classifiers(train.count()))[1]
+
+    kinds = {"full": features.FULL, "demo": features.DEMOGRAPHIC}
+    tables = dict(zip(kinds, side_by_side(g.spark, lambda name: of(kinds[name]), kinds)))
+    return union_all([t.withColumn("features", F.lit(name)) for name, t in tables.items()])
 
 
 @query
 def kernel_svm_metrics(g):
+    """The SVM alone, and the share of the kernel that its landmarks leave unexplained."""
     (train, val, _), _ = features.prepare(*_model_splits(g))
-    _, metrics = models.party_classifiers(train, val, {"Support Vector Machine": models.KernelSvm(size=64)})
-    return metrics
+    fitted, metrics = models.party_classifiers(train, val, {"Support Vector Machine": models.KernelSvm()})
+    return metrics.withColumn("unexplained", F.lit(fitted["Support Vector Machine"].unexplained))
 
 
 @query
 def amount_model_comparison(g):
-    """Ridge, forest and boosting for each party, with stage-one probabilities as features."""
+    """Ridge, forest and boosting for each party at their defaults, with stage-one probabilities as features."""
     (train, val, _), _ = features.prepare(*_model_splits(g))
     stage1, _ = models.party_classifiers(train, val, {"Logistic Regression": models.logistic(train.count())})
     party = stage1["Logistic Regression"]
@@ -577,16 +580,33 @@ def amount_model_comparison(g):
         )
         for df in (train, val)
     ]
+    return models.all_amount_models(*rows)[1]
 
-    def make_for(p):
-        label = f"{p.lower()}_amount"
-        return {
-            "Ridge Regression": lambda df: models.ridge(df, label),
-            "Random Forest": lambda df: models.forest_regressor(label, trees=10, depth=8, leaf=5),
-            "Gradient Boosting": lambda df: models.boosted_regressor(label, trees=5, depth=4),
-        }
 
-    return models.all_amount_models(*rows, make_for=make_for)[1]
+@query
+def saved_party_models(g):
+    """Each classifier saved, loaded and used again: rows of val, and those whose prediction or probability differs."""
+    (train, val, _), _ = features.prepare(*_model_splits(g))
+    made = {
+        "Logistic Regression": models.logistic(train.count()), "Random Forest": models.forest_classifier(trees=20),
+        "Gradient Boosting": models.boosted_classifier(trees=5), "Support Vector Machine": models.KernelSvm(size=64),
+    }
+    fitted, metrics = models.party_classifiers(train, val, made)
+    held = cut_lineage(val)
+    folder, tables = f"{shared_dir(g.spark)}/models-{uuid.uuid4().hex}", []
+    for number, (name, model) in enumerate(fitted.items()):
+        path = f"{folder}/{number}"
+        sinks.save_model(PipelineModel(stages=[model]), metrics.where(F.col("model_name") == name), path, name=name)
+        again, saved, facts = sinks.load_model(g.spark, path)
+        both = again.transform(held).select("id", F.col("prediction").alias("p2"), vector_to_array("probability").alias("a2"))
+        both = model.transform(held).select("id", "prediction", vector_to_array("probability").alias("a")).join(both, "id")
+        apart = F.exists(F.zip_with("a", "a2", lambda x, y: ~x.eqNullSafe(y)), lambda x: x)
+        tables.append(both.agg(F.count("*").alias("rows"), F.count_if((F.col("prediction") != F.col("p2")) | apart).alias("differing")).select(
+            F.lit(facts["name"]).alias("model_name"), "rows", "differing", F.lit(saved.count()).alias("metric_rows"),
+        ))
+    out = cut_lineage(union_all(tables))
+    discard(g.spark, folder)
+    return out
 
 
 def _likelihood_sets(g):
@@ -600,14 +620,14 @@ def _likelihood_sets(g):
 @query
 def forest_stages(g):
     _, _, (train, test) = _likelihood_sets(g)
-    return models.forest_stages(train, cut_lineage(test), stages=(1, 10, 50))
+    return models.forest_stages(train, cut_lineage(test))
 
 
 @query
 def likelihood_importance(g):
     _, _, (train, _) = _likelihood_sets(g)
     rows = cut_lineage(models.balanced(train, "donated_after_cutoff"))
-    forest = models.likelihood_forest(20).fit(rows)
+    forest = models.likelihood_forest().fit(rows)
     return models.importance_frame(g.spark, forest, likelihood.MODEL_COLUMNS)
 
 
@@ -615,7 +635,7 @@ def likelihood_importance(g):
 def scored_pairs(g):
     """All labelled pairs and as many without any history."""
     raw, scaler, (train, _) = _likelihood_sets(g)
-    forest, boosted = models.likelihood_models(train, trees=20, boosted_trees=5)
+    forest, boosted = models.likelihood_models(train)
     known = likelihood.label_pairs(g.totals, CUTOFF).select(*likelihood.PAIR)
     unknown = known.select((F.col("contributor_id") + 10**9).alias("contributor_id"), "cmte_id")
     return models.score_pairs(

@@ -553,3 +553,7 @@ SELECT split, {whole('sum(n)', 'n')}, (SELECT count(*) FROM {_COHORT}) AS profil
 SQL["approximate_knn_rows"] = (
     "SELECT vec_id AS query_id, least(20, (SELECT count(*) FROM embeddings)) AS n, least(20, (SELECT count(*) FROM embeddings)) AS ids FROM embeddings"
 )
+SQL["saved_party_models"] = with_views(f"""
+SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting', 'Support Vector Machine']) AS model_name,
+  (SELECT {whole('sum(round(n * 0.15))', 'n')} FROM (SELECT primary_party, count(*) AS n FROM {_COHORT} GROUP BY primary_party)) AS rows,
+  CAST(0 AS BIGINT) AS differing, CAST(1 AS BIGINT) AS metric_rows""")

@@ -64,7 +64,11 @@ def stored(df: DataFrame, name) -> DataFrame:
     For a table that many jobs read. Its files outlive the executors that wrote
     them, and the scan keeps column pruning and filter pushdown.
     """
-    path = f"{shared_dir(df.sparkSession)}/tables-{uuid.uuid4().hex}/{name}"
+    return stored_at(df, f"{shared_dir(df.sparkSession)}/tables-{uuid.uuid4().hex}/{name}")
+
+
+def stored_at(df: DataFrame, path) -> DataFrame:
+    """``df`` written to a new folder that the caller names (and may ``discard``), and read from there."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -100,6 +100,58 @@ def test_kernel_svm_learns_a_ring(spark):
     assert auc["DEM"] > 0.85 and auc["REP"] > 0.85
 
 
+def test_kernel_svm_is_near_the_exact_kernel_machine(spark):
+    """With landmarks for a part of the rows the margins stay close to those of all kernel columns, which satisfy the optimum's conditions."""
+    from tallyspark.operators import kernel_svm
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 3))
+    y = np.where((x ** 2).sum(1) + 0.3 * rng.normal(size=120) < 2.4, 1, 0)
+    rows = [(i, float(c), [float(v) for v in r], 1.0) for i, (c, r) in enumerate(zip(y, x))]
+    df = spark.createDataFrame(rows, "id long, label double, x array<double>, weight double")
+    df = df.select("id", "label", "weight", array_to_vector("x").alias("features"))
+    exact = models.KernelSvm(size=120, c=2.0).fit(df)
+    few = models.KernelSvm(size=40, c=2.0).fit(df)
+    assert exact.unexplained < 1e-8 < few.unexplained < 0.08
+    # The dual of the exact machine, by coordinate steps on pairs of rows.
+    sign, gamma = np.where(y == 1, 1.0, -1.0), exact.mapping.gamma
+    k = kernel_svm.kernel(x, x, gamma)
+    a = np.zeros(120)
+    f = -sign.copy()
+    for _ in range(20_000):
+        up = ((sign > 0) & (a < 2 - 1e-12)) | ((sign < 0) & (a > 1e-12))
+        low = ((sign < 0) & (a < 2 - 1e-12)) | ((sign > 0) & (a > 1e-12))
+        i, j = np.where(up, f, np.inf).argmin(), np.where(low, f, -np.inf).argmax()
+        if f[j] - f[i] < 1e-5:
+            break
+        step = (f[j] - f[i]) / max(k[i, i] + k[j, j] - 2 * k[i, j], 1e-12)
+        step = min(step, 2 - a[i] if sign[i] > 0 else a[i], a[j] if sign[j] > 0 else 2 - a[j])
+        a[i] += sign[i] * step
+        a[j] -= sign[j] * step
+        f += step * (k[:, i] - k[:, j])
+    want = k @ (a * sign) - (f[i] + f[j]) / 2
+    at = list(exact.classes[:, 0]).index(1)
+    spread = np.abs(want).mean()
+    assert np.abs(exact.margins(x)[:, at] - want).max() < 0.1 * spread
+    assert np.abs(few.margins(x)[:, at] - want).mean() < 0.15 * spread
+
+
+def test_every_classifier_saves_and_loads(spark, planted, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    train, val, _ = planted
+    made = {
+        "Logistic Regression": models.logistic(train.count()), "Random Forest": models.forest_classifier(trees=4, depth=4, leaf=5),
+        "Gradient Boosting": models.boosted_classifier(trees=3, depth=3), "SVM": models.KernelSvm(size=32),
+    }
+    fitted, metrics = models.party_classifiers(train, val, made)
+    for name, model in fitted.items():
+        sinks.save_model(PipelineModel([model]), metrics, str(tmp_path / name), name=name)
+        again, _, facts = sinks.load_model(spark, str(tmp_path / name))
+        rows = lambda m: m.transform(val).orderBy("id").select("prediction", "probability").collect()
+        assert rows(again) == rows(model) and facts == {"name": name}
+
+
 def test_every_classifier_gives_probabilities_for_stage_two(planted):
     train, val, _ = planted
     made = {"Gradient Boosting": models.boosted_classifier(trees=3, depth=3), "SVM": models.KernelSvm(size=32)}
