@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PARTIES, mean
+from ..session import cut_lineage
 from .explore import top_n, top_n_per_group
 from .features import most_frequent
 from .side_by_side import side_by_side
@@ -173,22 +175,122 @@ def sampled_silhouette(df: DataFrame, features, cluster, max_rows, key="id", see
     return sample.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
 
 
+# Rows among which the starts of ``lloyd_together`` are chosen; they are at the driver.
+START_ROWS = 5000
+
+
+def spread_starts(df: DataFrame, most, features="features", seed=42, key="id"):
+    """``most`` starting centres, each drawn by its squared distance to those before; the first k serve for k clusters.
+
+    They are drawn among the first ``START_ROWS`` rows in the order of a hash.
+    """
+    order = F.xxhash64(F.lit(seed), key)
+    rows = df.select(as_array(df, features).alias("x"), order.alias("o")).orderBy("o").limit(START_ROWS).collect()
+    x, rng = np.array([r["x"] for r in rows], dtype=float), np.random.default_rng(seed)
+    chosen, left = [int(rng.integers(len(x)))], np.full(len(x), np.inf)
+    while len(chosen) < min(most, len(x)):
+        left = np.minimum(left, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+        if not left.sum() > 0:
+            break
+        chosen.append(int(rng.choice(len(x), p=left / left.sum())))
+    return x[chosen]
+
+
+def _nearest(x, centres):
+    """(number, squared distance) of the nearest centre of each row."""
+    d2 = (x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * x @ centres.T
+    near = d2.argmin(axis=1)
+    return near, np.maximum(d2[np.arange(len(x)), near], 0)
+
+
+def lloyd_together(df: DataFrame, starts, features="features", max_iter=100, tolerance=1e-4):
+    """{name: (centres, cost)} of Lloyd's steps from each of ``starts`` ({name: centres}), to whose rows all of them share the reads.
+
+    A pass adds up, for every start that still moves, the rows and sums of each cluster inside the tasks; one row
+    per start and task is shuffled. A start rests when no centre moves by more than ``tolerance``; a cluster without rows
+    keeps its centre. ``cost`` is that of the centres returned.
+    """
+    rows = df.select(as_array(df, features).alias("x"))
+    names = list(starts)
+    centres = {n: np.array(starts[name], dtype=float) for n, name in enumerate(names)}
+    moving, cost = set(centres), {}
+
+    def measured(wanted):
+        shared = df.sparkSession.sparkContext.broadcast({n: centres[n] for n in wanted})
+
+        def add_up(batches):
+            total = {n: np.zeros((len(c), c.shape[1] + 2)) for n, c in shared.value.items()}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                for n, c in shared.value.items():
+                    near, d2 = _nearest(x, c)
+                    weights = [None, d2, *x.T]
+                    total[n] += np.stack([np.bincount(near, w, len(c)) for w in weights], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["n", "sums"]
+            )
+
+        def meet(table):
+            added = sum(np.frombuffer(v.as_py()) for v in table.column("sums"))
+            return pa.Table.from_arrays([table.column("n")[:1], pa.array([added.tobytes()], pa.binary())], names=["n", "sums"])
+
+        answers = rows.mapInArrow(add_up, "n int, sums binary").groupBy("n").applyInArrow(meet, "n int, sums binary")
+        return {r["n"]: np.frombuffer(r["sums"]).reshape(len(centres[r["n"]]), -1) for r in answers.collect()}
+
+    for _ in range(max_iter):
+        if not moving:
+            break
+        for n, sums in measured(moving).items():
+            cost[n] = float(sums[:, 1].sum())
+            new = np.where(sums[:, :1] > 0, sums[:, 2:] / np.maximum(sums[:, :1], 1), centres[n])
+            if not ((new - centres[n]) ** 2).sum(axis=1).max() > tolerance**2:
+                moving.discard(n)
+            else:
+                centres[n] = new
+    for n, sums in (measured(moving) if moving else {}).items():
+        cost[n] = float(sums[:, 1].sum())
+    return {name: (centres[n], cost[n]) for n, name in enumerate(names)}
+
+
+def nearest_centre(df: DataFrame, centres, features="features", out="cluster") -> DataFrame:
+    """``df`` with the number of the nearest of some centres; a tie goes to the lowest."""
+    shared = df.sparkSession.sparkContext.broadcast(np.asarray(centres))
+
+    @F.arrow_udf("int")
+    def near(x: pa.Array) -> pa.Array:
+        rows = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), shared.value.shape[1])
+        return pa.array(_nearest(rows, shared.value)[0], pa.int32())
+
+    return df.withColumn(out, near(as_array(df, features)))
+
+
 def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", seeds=(42, 43, 44)):
-    """Inertia, silhouette and Davies-Bouldin index for each number of clusters."""
+    """Inertia, silhouette and Davies-Bouldin index for each number of clusters, of the best of the seeds.
+
+    The fits of all numbers and seeds go over the rows together.
+    """
+    rows, k_values = cut_lineage(df), list(k_values)
+    starts = {}
+    for seed in seeds:
+        chosen = spread_starts(rows, max(k_values), features, seed)
+        starts.update({(k, seed): chosen[:k] for k in k_values})
+    fitted = lloyd_together(rows, starts, features)
 
     def row(k):
-        model = fit_kmeans(df, k, features, seeds)
-        labelled = model.transform(df)
+        centres, cost = min((fitted[k, seed] for seed in seeds), key=lambda f: f[1])
+        labelled = cut_lineage(nearest_centre(rows, centres, features))
         return (
             k,
-            float(model.summary.trainingCost),
+            cost,
             silhouette(labelled, features, "cluster").first()[0],
             davies_bouldin(labelled, features, "cluster").first()[0],
         )
 
-    rows = side_by_side(df.sparkSession, row, k_values)
+    table = side_by_side(df.sparkSession, row, k_values)
     schema = "k int, inertia double, silhouette_score double, davies_bouldin_index double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(table, schema)
 
 
 def best_k(elbow_rows: DataFrame) -> DataFrame:

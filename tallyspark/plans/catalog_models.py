@@ -488,8 +488,7 @@ def fitted_segments(g):
 
 @query
 def kmeans_elbow(g):
-    rows = cut_lineage(vectors(g))
-    return clusters.elbow(rows, k_values=(5, 10, 20))
+    return clusters.elbow(vectors(g))
 
 
 # --- Neighbours -------------------------------------------------------------
