@@ -3,8 +3,9 @@
 Numbers, names and units of a text become typed placeholders; windows of the resulting
 templates are hashed, and those of documents joined with those of benchmark items. A
 window says which value stands in which slot: an occurrence of an item counts only if
-every slot value of the item goes to one value of the document and back. So a question with
-other numbers or names is found, and a mere resemblance of placeholders is not.
+every slot value of the item goes to one value of the document, and names and units back, too (two
+numbers may get the same value). So a question with other numbers or names is found, and a mere
+resemblance of placeholders is not.
 
 A capitalised word that begins a sentence may be a name or not, so templates are hashed in
 both readings: such words as they are, and all of them as names. The slot check is done
@@ -33,15 +34,23 @@ BROADCAST_ROWS = 500_000
 
 # Words for numbers and units.
 NUMBERS = (
-    "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
-    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half twice thrice"
+    "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half once twice thrice"
 ).split()
+ONES = "one two three four five six seven eight nine".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+SCALES = "hundred thousand million billion".split()
 UNITS = (
     "mm cm km kg mg ml kb mb gb mph kph hz khz mhz ghz meter meters metre metres centimeter centimeters kilometer kilometers "
     "kilometre kilometres mile miles inch inches foot feet yard yards gram grams kilogram kilograms pound pounds ounce ounces "
     "ton tons liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month "
     "months year years dollar dollars cent cents euro euros percent degrees celsius fahrenheit volts watts joules"
 ).split()
+# Words that begin a sentence before a name without being part of it.
+OPENERS = (
+    "a after an and are as at because before both but by can could did do does each every for from had has have how if in is "
+    "let on only so since suppose the then to today was were what when where which while who why will with would yesterday"
+).split()
 # End of fixed values.
 
 # Marks of a name, and of a capitalised word that may be one or begin a sentence.
@@ -51,14 +60,33 @@ PLAIN, NAMED, EXACT = 0, 1, 2
 _NAMES = r"(?<=[\p{L}\p{N},;:)\"']\s{1,3})(?=\p{Lu}\p{Ll})"
 _EITHER = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}\x01])"
 _INSIDE_NUMBER = r"(?<=[0-9])[.,:/](?=[0-9])"
+# Between the words of one number or of one name; they make one token.
+IN_NUMBER, IN_NAME = "\x04", "\x05"
+
+
+def _any(words):
+    return f"(?:{'|'.join(words)})"
+
+
+# What follows is looked at first, as it rarely fits: twenty-five, five hundred, hundred (and) five.
+_NUMBER_WORDS = (
+    rf"(?i)[\s-]{{1,3}}(?:(?={_any(SCALES)}\b)(?<=\b{_any(NUMBERS)}[\s-]{{1,3}})|(?={_any(ONES)}\b)(?<=\b{_any(TENS)}[\s-]{{1,3}})"
+    rf"|(?:and\s{{1,3}})?(?={_any(NUMBERS)}\b)(?<=\b{_any(SCALES)}[\s-]{{1,3}}(?:and\s{{1,3}})?))"
+)
+_NAME_WORDS = rf"\s{{1,3}}\x01(?<=(?:\x01|\x02(?!(?i:{_any(OPENERS)})\b))\p{{L}}{{1,40}}\s{{1,3}}\x01)"
 
 
 def tokens_of(text: Column) -> Column:
-    """The words of a text in lower case, names and words that may be names marked, each number one word; null has none."""
-    marked = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(NAME), F.lit(" ")), F.lit(EITHER), F.lit(" "))
-    for pattern, mark in ((_NAMES, NAME), (_EITHER, EITHER), (_INSIDE_NUMBER, "")):
+    """The words of a text in lower case, names and words that may be names marked; null has none.
+
+    A number is one word, also in several words (twenty-five, two hundred and five), and so is a name of several words.
+    """
+    marked = F.translate(F.coalesce(text, F.lit("")), NAME + EITHER + IN_NUMBER + IN_NAME, "    ")
+    for pattern, mark in (
+        (_NUMBER_WORDS, IN_NUMBER), (_NAMES, NAME), (_EITHER, EITHER), (_NAME_WORDS, IN_NAME), (_INSIDE_NUMBER, "")
+    ):
         marked = F.regexp_replace(marked, pattern, mark)
-    return F.array_remove(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01\x02]+", -1), "")
+    return F.array_remove(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01\x02\x04\x05]+", -1), "")
 
 
 def word_of(token: Column) -> Column:
@@ -71,7 +99,7 @@ def template_of(tokens: Column) -> Column:
 
     def typed(t):
         word = word_of(t)
-        number = ((t >= F.lit("0")) & (t < F.lit(":"))) | word.isin(NUMBERS)
+        number = ((t >= F.lit("0")) & (t < F.lit(":"))) | word.isin(NUMBERS) | word.contains(IN_NUMBER)
         return F.when(t < F.lit(EITHER), F.lit("<name>")).when(number, F.lit("<number>")).when(word.isin(UNITS), F.lit("<unit>")).otherwise(word)
 
     return F.transform(tokens, typed)
@@ -87,9 +115,15 @@ def _hashes(words):
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _exact_hashes(tokens):
+def exact_words(tokens: Column) -> Column:
+    """The words of tokens as they are, numbers and names of several words apart."""
+    words = F.translate(F.array_join(tokens, " "), IN_NUMBER + IN_NAME + NAME + EITHER, "  ")
+    return F.array_remove(F.split(words, " ", -1), "")
+
+
+def _exact_hashes(words):
     """Hashes of the words as they are, other ones than those of templates."""
-    return F.transform(tokens, lambda t: F.xxhash64(F.lit(EXACT), word_of(t)))
+    return F.transform(words, lambda t: F.xxhash64(F.lit(EXACT), t))
 
 
 def _windows(hashes, size):
@@ -130,8 +164,8 @@ def benchmark_windows(items: DataFrame, ids="item_id", text="text", window=WINDO
         "item_id", "tokens", "reading", "size", "place", hashed(_hashes(F.col("template"))), slots.alias("slots")
     )
     literal = (F.size("tokens") >= MIN_WORDS) & (F.size("slots") <= F.col("size") * (1 - MIN_LITERALS))
-    exact = found.where((F.col("reading") == PLAIN) & ~literal).select("item_id", "tokens", "size").distinct().select("*", places)
-    exact = exact.select(
+    exact = found.where((F.col("reading") == PLAIN) & ~literal).select("item_id", exact_words(F.col("tokens")).alias("tokens")).distinct()
+    exact = exact.withColumn("size", F.least(F.size("tokens"), F.lit(window))).select("*", places).select(
         "item_id", F.lit(EXACT).alias("reading"), "size", "place", hashed(_exact_hashes(F.col("tokens"))),
         F.array().cast(found.schema["slots"].dataType).alias("slots"),
     )
@@ -151,7 +185,7 @@ def matched_windows(docs: DataFrame, windows: DataFrame, ids="doc_id", text="tex
     words = words.withColumn("template", template_of(F.col("tokens")))
     words = words.select(
         "doc_id", _hashes(F.col("template")).alias("plain"), _hashes(with_names(F.col("template"), F.col("tokens"))).alias("named"),
-        _exact_hashes(F.col("tokens")).alias("exact"),
+        _exact_hashes(exact_words(F.col("tokens"))).alias("exact"),
     )
     hashes, places = [F.col("doc_id")], []
     for size, exact in kinds or [(WINDOW, False)]:
@@ -165,9 +199,10 @@ def matched_windows(docs: DataFrame, windows: DataFrame, ids="doc_id", text="tex
 
 
 def inconsistent(docs: DataFrame, matched: DataFrame, ids="doc_id", text="text") -> DataFrame:
-    """(doc_id, item_id, reading, shift) of occurrences in which a slot value of the item or the document has two partners.
+    """(doc_id, item_id, reading, shift) of occurrences in which a slot value of the item has two partners.
 
-    An occurrence is an item at one shift between its places and the document's.
+    Names and units of the document have one partner, too; two numbers may become equal. An occurrence is
+    an item at one shift between its places and the document's.
     """
     slotted = matched.where(F.size("slots") > 0).select("doc_id", "item_id", "reading", "pos", (F.col("pos") - F.col("place")).alias("shift"), F.explode("slots").alias("slot"))
     wanted = slotted.select("doc_id", "item_id", "reading", "shift", (F.col("pos") + F.col("slot.at")).alias("at"), F.col("slot.kind").alias("kind"), F.col("slot.value").alias("value")).distinct()
@@ -182,7 +217,7 @@ def inconsistent(docs: DataFrame, matched: DataFrame, ids="doc_id", text="text")
     pairs = seen.select("doc_id", "w.item_id", "w.reading", "w.shift", "w.kind", "w.value", word_of(F.element_at("tokens", F.col("w.at") + 1)).alias("other")).distinct()
     keys = ["doc_id", "item_id", "reading", "shift"]
     there = pairs.groupBy(*keys, "kind", "value").agg(F.count("*").alias("n"))
-    back = pairs.groupBy(*keys, "kind", "other").agg(F.count("*").alias("n"))
+    back = pairs.where("kind <> '<number>'").groupBy(*keys, "kind", "other").agg(F.count("*").alias("n"))
     return there.where("n > 1").select(*keys).unionByName(back.where("n > 1").select(*keys)).distinct()
 
 
@@ -192,7 +227,7 @@ def contaminated(
     """(doc_id, item_id, n_windows, n_found, coverage, first_word) for each document and item it holds.
 
     At least ``coverage`` of the item's windows are in the document, in occurrences with consistent slots;
-    ``first_word`` is the first of them, in words from 0. The best reading of the item counts. Null and empty
+    ``first_word`` is the first of them, in tokens of ``tokens_of`` from 0 (found word for word: in words). The best reading of the item counts. Null and empty
     texts match nothing; items of fewer than five words are found word for word. Rows that share an id count as one document, null ids as another; items that
     share an id count as one. Extra columns do not matter; empty tables give an empty one.
     """
