@@ -175,6 +175,70 @@ def sampled_silhouette(df: DataFrame, features, cluster, max_rows, key="id", see
     return sample.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
 
 
+# Rows of a cluster, and of a sample, that are measured against each other at once.
+SILHOUETTE_BLOCK = 4096
+
+
+def euclidean_silhouette(df: DataFrame, features, cluster, sample: DataFrame = None, key="id"):
+    """Mean Euclidean silhouette of the rows of ``sample`` (rows of ``df``; all of them if None), measured against all of ``df``.
+
+    Clusters and sample are cut into blocks by a hash of the key, so a hot cluster is many blocks. A pair
+    of blocks hands on one sum of distances per sampled row. The work is sampled rows x all rows: give a
+    sample of bounded size where ``df`` is large. Rows of clusters of one count zero; null features or
+    clusters and their rows are left out; one cluster alone, or an empty sample, gives null.
+    """
+
+    def points(rows):
+        picked = rows.select(F.col(key).alias("id"), F.col(cluster).alias("cluster"), as_array(rows, features).alias("x"))
+        return picked.where(F.col("cluster").isNotNull() & F.col("x").isNotNull())
+
+    base = points(df)
+    asked = base if sample is None else points(sample)
+    sizes = base.groupBy("cluster").agg(F.count("*").alias("n"))
+    cut = sizes.withColumn("blocks", F.ceil(F.col("n") / SILHOUETTE_BLOCK))
+    parts = F.ceil(asked.agg(F.count("*").alias("n")).scalar() / SILHOUETTE_BLOCK)
+
+    def salted(n):
+        return F.pmod(F.xxhash64(F.lit(11), "id"), n)
+
+    def upto(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1))
+
+    cells = cut.select(F.col("cluster").alias("other"), upto(F.col("blocks")).alias("block"))
+    every = cells.agg(F.collect_list(F.struct("other", "block"))).scalar()
+    left = asked.withColumn("part", salted(F.greatest(parts, F.lit(1)))).withColumn("_cell", F.explode(every))
+    left = left.select("id", "x", "part", "_cell.other", "_cell.block")
+    right = base.join(cut, "cluster").select(F.col("cluster").alias("other"), F.col("x").alias("y"), salted(F.col("blocks")).alias("block"))
+    right = right.withColumn("part", upto(parts))
+
+    def sums(queries, rows):
+        if not len(queries) or not len(rows):
+            return pd.DataFrame({"id": [], "other": [], "total": []})
+        x, y = (np.array(part.tolist(), dtype=float) for part in (queries["x"], rows["y"]))
+        d2 = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * x @ y.T
+        total = np.sqrt(np.maximum(d2, 0)).sum(axis=1)
+        return pd.DataFrame({"id": queries["id"], "other": rows["other"].iloc[0], "total": total})
+
+    types = {c: t for c, t in base.dtypes}
+    keys = ["other", "block", "part"]
+    far = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        sums, f"id {types['id']}, other {types['cluster']}, total double"
+    )
+    far = far.groupBy("id", "other").agg(F.sum("total").alias("total")).join(
+        sizes.select(F.col("cluster").alias("other"), "n"), "other"
+    )
+    own = F.col("other") == F.col("cluster")
+    scored = far.join(asked.select("id", "cluster"), "id").groupBy("id").agg(
+        F.max(F.when(own, F.col("n"))).alias("size"),
+        F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
+    )
+    value = F.when(F.col("size") == 1, 0.0).when(
+        F.col("b").isNotNull(), (F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-300))
+    )
+    return scored.agg(F.avg(value).alias("silhouette"))
+
+
 # Rows among which the starts of ``lloyd_together`` are chosen; they are at the driver.
 START_ROWS = 5000
 
@@ -266,10 +330,10 @@ def nearest_centre(df: DataFrame, centres, features="features", out="cluster") -
     return df.withColumn(out, near(as_array(df, features)))
 
 
-def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", seeds=(42, 43, 44)):
+def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", seeds=(42, 43, 44), score=silhouette):
     """Inertia, silhouette and Davies-Bouldin index for each number of clusters, of the best of the seeds.
 
-    The fits of all numbers and seeds go over the rows together.
+    ``score`` measures labelled rows; ``euclidean_silhouette`` of a sample goes there, too. The fits of all numbers and seeds go over the rows together.
     """
     rows, k_values = cut_lineage(df), list(k_values)
     starts = {}
@@ -284,7 +348,7 @@ def elbow(df: DataFrame, k_values=tuple(ELBOW_K), features="features", seeds=(42
         return (
             k,
             cost,
-            silhouette(labelled, features, "cluster").first()[0],
+            score(labelled, features, "cluster").first()[0],
             davies_bouldin(labelled, features, "cluster").first()[0],
         )
 

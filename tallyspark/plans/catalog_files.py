@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import refunds, resolve
 from ..session import cut_lineage, shared_dir
 from ..sources import filings, schemas, sinks
-from ..sources.upsert import upsert
+from ..sources.upsert import merge_into, table_by_key, upsert
 from ..streaming import incremental
 from . import frames
 from .catalog import query
@@ -141,6 +141,20 @@ def upserted_rows(g):
     return upsert(first, new, ["l_orderkey"], ["l_quantity"], "at")
 
 
+@query
+def merged_by_key(g):
+    """The same two editions as ``upserted_rows``, merged into a stored table whose untouched folders are left alone."""
+    rows = g.table("lineitem").select(
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_orderkey")).alias("l_orderkey"),
+        "l_quantity", "l_partkey",
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("at"),
+    )
+    path = _folder(g, "merged")
+    for part in (rows.where("l_partkey % 2 = 0"), rows.where("l_partkey % 2 = 1")):
+        merge_into(path, part, ["l_orderkey"], ["l_quantity"], "at")
+    return table_by_key(g.spark, path, rows.drop("at").schema)
+
+
 @query
 def typed_contributions(g):
     """Widths and types of the contribution table, with the columns that do not fit."""

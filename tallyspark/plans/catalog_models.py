@@ -437,6 +437,15 @@ def _silhouette(g):
 query(_silhouette, "silhouette", digits=6)
 
 
+def _euclidean_silhouette(g):
+    """Every twentieth vector against all vectors."""
+    rows = g.table("embeddings")
+    return clusters.euclidean_silhouette(rows, "embedding", "label", rows.where("vec_id % 20 = 0"), "vec_id")
+
+
+query(_euclidean_silhouette, "euclidean_silhouette", digits=6)
+
+
 def vectors(g):
     to_double = F.transform("embedding", lambda x: x.cast("double"))
     return g.table("embeddings").select(

@@ -33,6 +33,7 @@ WITH r AS (SELECT CASE WHEN l_orderkey % 7 <> 0 THEN l_orderkey END AS k, l_quan
 SELECT k AS l_orderkey, {num('arg_max(l_quantity, (stage, l_linenumber, l_partkey, l_suppkey, l_quantity))', 'l_quantity')},
   arg_min(l_partkey, (stage, l_linenumber, l_partkey, l_suppkey, l_quantity)) AS l_partkey FROM r WHERE k IS NOT NULL GROUP BY k
 UNION ALL SELECT NULL, {num('l_quantity', 'l_quantity')}, l_partkey FROM r WHERE k IS NULL"""
+SQL["merged_by_key"] = SQL["upserted_rows"]
 SQL["streamed_ingest"] = with_views(f"""
 SELECT {whole('(SELECT count(*) FROM keyed WHERE sub_id % 5 <> 0)', 'lines')},
   {whole('(SELECT count(*) FROM keyed WHERE sub_id % 5 IN (0, 1))', 'lines_again')}, count(*) AS rows,

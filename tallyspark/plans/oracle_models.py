@@ -503,6 +503,13 @@ SQL["silhouette"] = f"""WITH d AS (
 i AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
   min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY vec_id)
 SELECT {num('avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)', 'silhouette', 6)} FROM i"""
+SQL["euclidean_silhouette"] = f"""WITH d AS (
+  SELECT a.vec_id, a.label AS own, b.label AS other,
+    sum(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) AS s,
+    count(*) AS n FROM embeddings a JOIN embeddings b ON true WHERE a.vec_id % 20 = 0 GROUP BY a.vec_id, a.label, b.label),
+i AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+  min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY vec_id)
+SELECT {num('avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)', 'silhouette', 6)} FROM i"""
 
 # --- Neighbours -------------------------------------------------------------
 
