@@ -1,5 +1,7 @@
 """K-means segments, their quality and their profiles."""
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PARTIES, mean
-from ..session import cut_lineage
+from ..session import cut_lineage, discard, shared_dir
 from .explore import top_n, top_n_per_group
 from .features import most_frequent
 from .side_by_side import side_by_side
@@ -267,55 +269,108 @@ def _nearest(x, centres):
     return near, np.maximum(d2[np.arange(len(x)), near], 0)
 
 
+def _sums(rows, centres):
+    """{name: per cluster the rows, their squared distances and their vectors, added up inside the tasks} for some sets of centres.
+
+    One row per set and task is shuffled.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def add_up(batches):
+        total = {n: np.zeros((len(c), c.shape[1] + 2)) for n, c in shared.value.items()}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for n, c in shared.value.items():
+                near, d2 = _nearest(x, c)
+                weights = [None, d2, *x.T]
+                total[n] += np.stack([np.bincount(near, w, len(c)) for w in weights], axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["n", "sums"]
+        )
+
+    def meet(table):
+        added = sum(np.frombuffer(v.as_py()) for v in table.column("sums"))
+        return pa.Table.from_arrays([table.column("n")[:1], pa.array([added.tobytes()], pa.binary())], names=["n", "sums"])
+
+    answers = rows.select("x").mapInArrow(add_up, "n int, sums binary").groupBy("n").applyInArrow(meet, "n int, sums binary")
+    return {r["n"]: np.frombuffer(r["sums"]).reshape(len(centres[r["n"]]), -1) for r in answers.collect()}
+
+
 def lloyd_together(df: DataFrame, starts, features="features", max_iter=100, tolerance=1e-4):
     """{name: (centres, cost)} of Lloyd's steps from each of ``starts`` ({name: centres}), to whose rows all of them share the reads.
 
-    A pass adds up, for every start that still moves, the rows and sums of each cluster inside the tasks; one row
-    per start and task is shuffled. A start rests when no centre moves by more than ``tolerance``; a cluster without rows
+    A start rests when no centre moves by more than ``tolerance``; a cluster without rows
     keeps its centre. ``cost`` is that of the centres returned.
     """
     rows = df.select(as_array(df, features).alias("x"))
-    names = list(starts)
-    centres = {n: np.array(starts[name], dtype=float) for n, name in enumerate(names)}
+    centres = {n: np.array(c, dtype=float) for n, c in enumerate(starts.values())}
     moving, cost = set(centres), {}
-
-    def measured(wanted):
-        shared = df.sparkSession.sparkContext.broadcast({n: centres[n] for n in wanted})
-
-        def add_up(batches):
-            total = {n: np.zeros((len(c), c.shape[1] + 2)) for n, c in shared.value.items()}
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                for n, c in shared.value.items():
-                    near, d2 = _nearest(x, c)
-                    weights = [None, d2, *x.T]
-                    total[n] += np.stack([np.bincount(near, w, len(c)) for w in weights], axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["n", "sums"]
-            )
-
-        def meet(table):
-            added = sum(np.frombuffer(v.as_py()) for v in table.column("sums"))
-            return pa.Table.from_arrays([table.column("n")[:1], pa.array([added.tobytes()], pa.binary())], names=["n", "sums"])
-
-        answers = rows.mapInArrow(add_up, "n int, sums binary").groupBy("n").applyInArrow(meet, "n int, sums binary")
-        return {r["n"]: np.frombuffer(r["sums"]).reshape(len(centres[r["n"]]), -1) for r in answers.collect()}
-
     for _ in range(max_iter):
         if not moving:
             break
-        for n, sums in measured(moving).items():
+        for n, sums in _sums(rows, {n: centres[n] for n in moving}).items():
             cost[n] = float(sums[:, 1].sum())
             new = np.where(sums[:, :1] > 0, sums[:, 2:] / np.maximum(sums[:, :1], 1), centres[n])
             if not ((new - centres[n]) ** 2).sum(axis=1).max() > tolerance**2:
                 moving.discard(n)
             else:
                 centres[n] = new
-    for n, sums in (measured(moving) if moving else {}).items():
+    for n, sums in (_sums(rows, {n: centres[n] for n in moving}) if moving else {}).items():
         cost[n] = float(sums[:, 1].sum())
-    return {name: (centres[n], cost[n]) for n, name in enumerate(names)}
+    return {name: (centres[n], cost[n]) for n, name in enumerate(starts)}
+
+
+# --- Fixed values: rows of a mini-batch, batches without a gain before a fit rests. ---
+BATCH_ROWS = 10_000
+PATIENCE = 10
+# --- End of fixed values. ---
+
+
+def mini_batches_together(
+    df: DataFrame, starts, features="features", key="id", batch_rows=BATCH_ROWS, max_batches=300, patience=PATIENCE, gain=1e-4
+):
+    """{name: (centres, cost, batches read)} of mini-batch steps from each of ``starts``; all of them share the batches.
+
+    The rows are dealt into batches by a hash of the key, each a folder of its own, so a step reads one batch
+    only; the folders are stored once and removed at the end. After the last batch the first one follows. A centre moves
+    towards the mean of its rows by their share of all rows it has had. A start rests when the smoothed cost of the
+    batches has not fallen by the share ``gain`` for ``patience`` of them. More than ``max_batches`` batches are not stored: a fit sees a
+    sample of so many rows at most. ``cost`` is that of all rows, read once more.
+    """
+    spark, rows = df.sparkSession, df.select(F.col(key).alias("id"), as_array(df, features).alias("x"))
+    n_rows = rows.count()
+    parts = max(1, -(-n_rows // batch_rows))
+    path = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    dealt = rows.select("x", F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(parts)).cast("int").alias("batch"))
+    dealt.where(F.col("batch") < max_batches).repartition("batch").write.partitionBy("batch").parquet(path)
+    stored_batches = spark.read.schema("x array<double>, batch int").parquet(path)
+    centres = {n: np.array(c, dtype=float) for n, c in enumerate(starts.values())}
+    had = {n: np.zeros(len(c)) for n, c in centres.items()}
+    smooth, best, idle, read, moving = {}, {}, dict.fromkeys(centres, 0), dict.fromkeys(centres, 0), set(centres)
+    weight = min(1.0, 2.0 * batch_rows / (n_rows + 1))
+    for step in range(max_batches):
+        if not moving:
+            break
+        batch = stored_batches.where(F.col("batch") == step % min(parts, max_batches))
+        for n, sums in _sums(batch, {n: centres[n] for n in moving}).items():
+            read[n] += 1
+            count = sums[:, 0]
+            if not count.sum():
+                continue
+            had[n] += count
+            mean = sums[:, 2:] / np.maximum(count, 1)[:, None]
+            centres[n] = centres[n] + (count / np.maximum(had[n], 1))[:, None] * (mean - centres[n])
+            now = float(sums[:, 1].sum() / count.sum())
+            smooth[n] = now if n not in smooth else smooth[n] * (1 - weight) + now * weight
+            idle[n] = 0 if smooth[n] < best.get(n, np.inf) * (1 - gain) else idle[n] + 1
+            best[n] = min(smooth[n], best.get(n, np.inf))
+            if idle[n] >= patience:
+                moving.discard(n)
+    discard(spark, path)
+    whole = _sums(rows, centres)
+    return {name: (centres[n], float(whole[n][:, 1].sum()) if n in whole else 0.0, read[n]) for n, name in enumerate(starts)}
 
 
 def nearest_centre(df: DataFrame, centres, features="features", out="cluster") -> DataFrame:

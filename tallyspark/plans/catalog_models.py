@@ -479,6 +479,16 @@ def kmeans_facts(g):
     )
 
 
+@query
+def mini_batch_facts(g):
+    """Rows, and whether mini-batches come within 5 % of the cost of Lloyd's steps from the same start."""
+    rows = g.table("embeddings")
+    start = {10: clusters.spread_starts(rows, 10, "embedding", key="vec_id")}
+    cost = clusters.mini_batches_together(rows, start, "embedding", "vec_id")[10][1]
+    least = clusters.lloyd_together(rows, start, "embedding")[10][1]
+    return rows.agg(F.count("*").alias("rows"), F.lit(int(cost <= 1.05 * least)).cast("long").alias("near_lloyd"))
+
+
 @query
 def fitted_segments(g):
     """Donors segmented by K-means on the clustering features, from splits to profiles."""

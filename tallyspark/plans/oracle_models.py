@@ -552,6 +552,7 @@ SQL["cluster_profile_lists"] = with_views(
     _CLUSTERED,
 )
 SQL["kmeans_facts"] = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(10 AS BIGINT) AS centres FROM embeddings"
+SQL["mini_batch_facts"] = "SELECT count(*) AS rows, CAST(1 AS BIGINT) AS near_lloyd FROM embeddings"
 SQL["fitted_segments"] = with_views(f"""
 SELECT split, {whole('sum(n)', 'n')}, (SELECT count(*) FROM {_COHORT}) AS profiled FROM (
   SELECT unnest(['test', 'val', 'train']) AS split,

@@ -39,3 +39,16 @@ def test_rows_that_are_all_equal(spark):
     starts = clusters.spread_starts(df, 5)
     assert len(starts) == 1
     assert clusters.lloyd_together(df, {"one": starts})["one"][1] == pytest.approx(0)
+
+
+def test_mini_batches_come_near_lloyd(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(c, 0.4, (150, 2)) for c in ((0, 0), (5, 0), (0, 6), (4, 4))])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id int, features array<double>")
+    start = {k: x[rng.choice(len(x), k, replace=False)] for k in (1, 4)}
+    start[4] = clusters.spread_starts(df, 4)
+    found = clusters.mini_batches_together(df, start, batch_rows=100, max_batches=30)
+    for k, (centres, cost, batches) in found.items():
+        assert 10 < batches <= 30
+        assert cost == pytest.approx(((x[:, None] - centres) ** 2).sum(axis=2).min(axis=1).sum())
+        assert cost <= 1.05 * plain(x, start[k])[1]
