@@ -16,6 +16,8 @@ few words, are also looked for word for word: the hashes of their words as they
 All of it is DataFrame functions.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,9 +59,10 @@ OPENERS = (
 NAME, EITHER = "\x01", "\x02"
 # Readings of an item: words that may be names as they are, as names, and all words as they are.
 PLAIN, NAMED, EXACT = 0, 1, 2
-_NAMES = r"(?<=[\p{L}\p{N},;:)\"']\s{1,3})(?=\p{Lu}\p{Ll})"
-_EITHER = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}\x01])"
-_INSIDE_NUMBER = r"(?<=[0-9])[.,:/](?=[0-9])"
+# Patterns begin with what rarely fits, as a regular expression is tried at every character.
+_EITHER = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])"
+_NAMES = r"\x02(?<=[\p{L}\p{N},;:)\"']\s{1,3}\x02)"
+_INSIDE_NUMBER = r"[.,:/](?<=[0-9][.,:/])(?=[0-9])"
 # Between the words of one number or of one name; they make one token.
 IN_NUMBER, IN_NAME = "\x04", "\x05"
 
@@ -82,9 +85,11 @@ def tokens_of(text: Column) -> Column:
     A number is one word, also in several words (twenty-five, two hundred and five), and so is a name of several words.
     """
     marked = F.translate(F.coalesce(text, F.lit("")), NAME + EITHER + IN_NUMBER + IN_NAME, "    ")
-    for pattern, mark in (
-        (_NUMBER_WORDS, IN_NUMBER), (_NAMES, NAME), (_EITHER, EITHER), (_NAME_WORDS, IN_NAME), (_INSIDE_NUMBER, "")
-    ):
+    # A number of several words has one of these; most texts have none.
+    low = F.lower(text)
+    several = reduce(Column.__or__, [low.contains(word) for word in SCALES + TENS])
+    marked = F.when(several, F.regexp_replace(marked, _NUMBER_WORDS, IN_NUMBER)).otherwise(marked)
+    for pattern, mark in ((_EITHER, EITHER), (_NAMES, NAME), (_NAME_WORDS, IN_NAME), (_INSIDE_NUMBER, "")):
         marked = F.regexp_replace(marked, pattern, mark)
     return F.array_remove(F.split(F.lower(marked), r"[^\p{L}\p{N}\x01\x02\x04\x05]+", -1), "")
 
@@ -94,15 +99,23 @@ def word_of(token: Column) -> Column:
     return F.when(token < F.lit("\x03"), F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
-def template_of(tokens: Column) -> Column:
-    """Tokens with placeholders for names, numbers and units; words that may be names stay."""
+def _typed(token):
+    """A token, or the placeholder it becomes."""
 
-    def typed(t):
-        word = word_of(t)
-        number = ((t >= F.lit("0")) & (t < F.lit(":"))) | word.isin(NUMBERS) | word.contains(IN_NUMBER)
-        return F.when(t < F.lit(EITHER), F.lit("<name>")).when(number, F.lit("<number>")).when(word.isin(UNITS), F.lit("<unit>")).otherwise(word)
+    def kind(word):
+        number = word.isin(NUMBERS) | word.contains(IN_NUMBER)
+        return F.when(number, F.lit("<number>")).when(word.isin(UNITS), F.lit("<unit>")).otherwise(word)
 
-    return F.transform(tokens, typed)
+    # Most tokens have no mark and begin with a letter, which is behind ":".
+    return (
+        F.when(token >= F.lit(":"), kind(token)).when(token < F.lit(EITHER), F.lit("<name>"))
+        .when(token >= F.lit("0"), F.lit("<number>")).otherwise(kind(word_of(token)))
+    )
+
+
+def template_of(tokens: Column) -> Column:
+    """Tokens with placeholders for names, numbers and units; words that may be names stay."""
+    return F.transform(tokens, _typed)
 
 
 def with_names(template: Column, tokens: Column) -> Column:
@@ -126,11 +139,9 @@ def _exact_hashes(words):
     return F.transform(words, lambda t: F.xxhash64(F.lit(EXACT), t))
 
 
-def _windows(hashes, size):
-    """The hashes of all windows of ``size`` words, by place, from those of the words; none if there are fewer words."""
-    places = F.sequence(F.lit(1), F.size(hashes) - (size - 1))
-    found = F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, F.lit(size))))
-    return F.when(F.size(hashes) >= size, found).otherwise(F.array().cast("array<bigint>"))
+def _window(hashes, size):
+    """The hash of the window of ``size`` words at ``pos``, from those of the words; null if there are fewer words."""
+    return F.when(F.col("pos") + size <= F.size(hashes), F.xxhash64(*[F.get(hashes, F.col("pos") + i) for i in range(size)]))
 
 
 def benchmark_windows(items: DataFrame, ids="item_id", text="text", window=WINDOW) -> DataFrame:
@@ -182,19 +193,24 @@ def matched_windows(docs: DataFrame, windows: DataFrame, ids="doc_id", text="tex
     # At most twice as many as words in a window.
     kinds = sorted(windows.select("size", F.col("reading") == EXACT).distinct().collect())
     words = docs.select(F.col(ids).alias("doc_id"), tokens_of(F.col(text)).alias("tokens"))
-    words = words.withColumn("template", template_of(F.col("tokens")))
-    words = words.select(
-        "doc_id", _hashes(F.col("template")).alias("plain"), _hashes(with_names(F.col("template"), F.col("tokens"))).alias("named"),
-        _exact_hashes(exact_words(F.col("tokens"))).alias("exact"),
-    )
-    hashes, places = [F.col("doc_id")], []
-    for size, exact in kinds or [(WINDOW, False)]:
-        hashes += [_windows(F.col(reading), size).alias(f"{reading}_{size}") for reading in (["exact"] if exact else ["plain", "named"])]
+    words = words.select("doc_id", "tokens", F.transform("tokens", lambda t: F.xxhash64(_typed(t))).alias("plain"))
+    fixed = [F.xxhash64(F.lit(kind)) for kind in ("<number>", "<unit>")]
+    named = F.zip_with("plain", "tokens", lambda w, t: F.when((t < F.lit("\x03")) & (w != fixed[0]) & (w != fixed[1]), F.xxhash64(F.lit("<name>"))).otherwise(w))
+    hashes = {"plain": F.col("plain"), "named": named, "exact": _exact_hashes(exact_words(F.col("tokens")))}
+    kinds = kinds or [(WINDOW, False)]
+    used = [reading for reading in hashes if any((reading == "exact") == exact for _, exact in kinds)]
+    rows = words.select("doc_id", *[hashes[reading].alias(reading) for reading in used])
+    # A row for each place: compiled code reads the arrays there, and builds none for a window.
+    most = reduce(lambda a, b: F.greatest(a, b), [F.size(reading) for reading in used])
+    rows = rows.select("*", F.explode(F.when(most > 0, F.sequence(F.lit(0), most - 1))).alias("pos"))
+    at, found = [], []
+    for size, exact in kinds:
+        at += [_window(reading, size).alias(f"{reading}_{size}") for reading in (["exact"] if exact else ["plain", "named"])]
         # A window that is the same in both readings meets an item once.
-        places += [F.col(f"exact_{size}")] if exact else [
-            F.col(f"plain_{size}"), F.zip_with(f"named_{size}", f"plain_{size}", lambda n, p: F.when(n != p, n))
+        found += [F.col(f"exact_{size}")] if exact else [
+            F.col(f"plain_{size}"), F.when(F.col(f"named_{size}") != F.col(f"plain_{size}"), F.col(f"named_{size}"))
         ]
-    rows = words.select(*hashes).select("doc_id", F.explode(F.array(*places)).alias("hashes")).select("doc_id", F.posexplode("hashes").alias("pos", "hash"))
+    rows = rows.select("doc_id", "pos", *at).select("doc_id", "pos", F.explode(F.array(*found)).alias("hash"))
     return rows.where("hash is not null").join(F.broadcast(windows) if small else windows, "hash").drop("hash")
 
 
@@ -215,6 +231,8 @@ def inconsistent(docs: DataFrame, matched: DataFrame, ids="doc_id", text="text")
     # Another row with the same id has something else at this place.
     seen = seen.where(F.try_element_at("template", F.col("w.at") + 1) == F.col("w.kind"))
     pairs = seen.select("doc_id", "w.item_id", "w.reading", "w.shift", "w.kind", "w.value", word_of(F.element_at("tokens", F.col("w.at") + 1)).alias("other")).distinct()
+    # Counted both ways, so the texts are taken apart once.
+    pairs = stored(pairs, "pairs")
     keys = ["doc_id", "item_id", "reading", "shift"]
     there = pairs.groupBy(*keys, "kind", "value").agg(F.count("*").alias("n"))
     back = pairs.where("kind <> '<number>'").groupBy(*keys, "kind", "other").agg(F.count("*").alias("n"))

@@ -149,3 +149,19 @@ def test_plain_rules_agree_on_the_given_tables(spark):
                 checked += 1
                 assert ((row.doc_id, item_id) in found) == want, (row.doc_id, item_id)
     assert checked > 1000
+
+
+def test_windows_are_hashed_by_compiled_code(frames):
+    docs, items = frames
+    plan = templates.matched_windows(docs, templates.benchmark_windows(items))._jdf.queryExecution().executedPlan().toString()
+    documents = plan[: plan.index("BroadcastExchange")]
+    assert "slice(" not in documents and documents.count("Generate explode") == 2
+
+
+def test_numbers_of_several_words_in_any_case(spark):
+    texts = ["TWENTY-Five pears", "Two HUNDRED and\nSix pears", "a Million five", "seventy  one, Forty", "twentyfive hundredths", None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r.tokens for r in rows.select("doc_id", templates.tokens_of(rows["text"]).alias("tokens")).collect()}
+    for n, text in enumerate(texts):
+        plain = [re.sub(r"[\x04\x05]", " ", re.sub(r"[\x01\x02]", "", token)) for token in found[n]]
+        assert plain == [word.replace(" and ", " ") for _, word in words(text or "")], text
