@@ -11,6 +11,10 @@ import tempfile
 import numpy as np
 
 ONE = np.uint64(1)
+# Every byte 1, and the top bit of every byte.
+BYTES, TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+# Place of the set bit with r set bits below it, by byte and r.
+IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], dtype=np.uint64).ravel()
 
 
 def _pack(values, bits):
@@ -29,6 +33,8 @@ def _pack(values, bits):
 def _unpack(words, index, bits):
     if not bits:
         return np.zeros(len(index), dtype=np.uint64)
+    if bits == 16:
+        return words.view("<u2")[index].astype(np.uint64)
     at = index.astype(np.uint64) * np.uint64(bits)
     word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
     low = words[word] >> shift
@@ -38,13 +44,12 @@ def _unpack(words, index, bits):
 
 def _select(word, rank):
     """Place of the set bit with ``rank`` set bits below it, in each 64-bit word."""
-    place, rank = np.zeros(len(word), dtype=np.uint64), rank.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count((word >> place) & ((ONE << np.uint64(width)) - ONE)).astype(np.int64)
-        right = rank >= below
-        rank = rank - np.where(right, below, 0)
-        place = place + np.where(right, np.uint64(width), np.uint64(0))
-    return place
+    rank = rank.astype(np.uint64)
+    # Set bits up to the end of each byte; bytes with no more than the rank come before the one looked for.
+    upto = np.bitwise_count(word.view(np.uint8)).view(np.uint64) * BYTES
+    byte = np.bitwise_count(((rank * BYTES | TOPS) - upto) & TOPS).astype(np.uint64) << np.uint64(3)
+    rank -= ((upto << np.uint64(8)) >> byte) & np.uint64(255)
+    return byte + IN_BYTE[((((word >> byte) & np.uint64(255)) << np.uint64(3)) | rank).astype(np.int64)]
 
 
 class Sequence:
@@ -87,29 +92,53 @@ class Sequence:
         place = (word << 6) + _select(~self.high[word], asked - zeros[word]).astype(np.int64)
         return np.where(wanted < 0, 0, place - asked)
 
+    def _search(self, wanted):
+        """For wanted numbers that are at most the last: place of the first not below each, end of those with its high bits, its low bits."""
+        high = wanted >> np.uint64(self.bits)
+        low = wanted & ((ONE << np.uint64(self.bits)) - ONE)
+        at, end = self._before(high), self._before(high + ONE)
+        # By halves, as many numbers may share their high bits.
+        open_ = np.flatnonzero(at < end)
+        first, last, asked = at[open_], end[open_], low[open_]
+        while len(open_):
+            middle = (first + last) >> 1
+            below = _unpack(self.low, middle, self.bits) < asked
+            first, last = np.where(below, middle + 1, first), np.where(below, last, middle)
+            going = first < last
+            at[open_] = first
+            open_, first, last, asked = open_[going], first[going], last[going], asked[going]
+        return at, end, low
+
+    def _inside(self, wanted):
+        last = self.get(np.array([self.count - 1]))[0] if self.count else np.uint64(0)
+        return wanted <= last if self.count else np.zeros(len(wanted), dtype=bool)
+
     def successor(self, wanted):
         """Place of the first number that is not below each wanted one; ``count`` if there is none."""
         wanted = np.asarray(wanted, dtype=np.uint64)
-        last = self.get(np.array([self.count - 1]))[0] if self.count else np.uint64(0)
-        inside = wanted <= last if self.count else np.zeros(len(wanted), dtype=bool)
+        inside = self._inside(wanted)
         result = np.full(len(wanted), self.count, dtype=np.int64)
-        high = wanted[inside] >> np.uint64(self.bits)
-        low = wanted[inside] & ((ONE << np.uint64(self.bits)) - ONE)
-        at, end = self._before(high), self._before(high + ONE)
-        open_ = np.flatnonzero(at < end)
-        while len(open_):
-            open_ = open_[_unpack(self.low, at[open_], self.bits) < low[open_]]
-            at[open_] += 1
-            open_ = open_[at[open_] < end[open_]]
-        result[inside] = at
+        result[inside] = self._search(wanted[inside])[0]
+        return result
+
+    def find(self, wanted):
+        """Place of the first number equal to each wanted one; -1 if there is none."""
+        wanted = np.asarray(wanted, dtype=np.uint64)
+        inside = np.flatnonzero(self._inside(wanted))
+        at, end, low = self._search(wanted[inside])
+        # A successor with the same high bits is equal if the low ones are.
+        near = np.flatnonzero(at < end)
+        near = near[_unpack(self.low, at[near], self.bits) == low[near]]
+        result = np.full(len(wanted), -1, dtype=np.int64)
+        result[inside[near]] = at[near]
         return result
 
 
 class Trie:
-    """Levels of an n-gram trie, each with the words of its nodes, pointers to their children and quantised values.
+    """Levels of an n-gram trie, each with the words of its nodes and quantised values.
 
     A node's word is stored relative to its context: behind the words of all contexts before it, so that
-    a level is one monotone sequence, and the children of a node lie between its pointer and the next.
+    a level is one monotone sequence, and a number found in it is a child of the context it was asked for.
     """
 
     BASE = np.uint64(1 << 32)
@@ -128,10 +157,6 @@ class Trie:
             relative = words if not depth else parent.astype(np.uint64) * self.BASE + words
             coded = Sequence.build(relative)
             entry = {"words": (put(coded[0]), coded[1:]), "values": []}
-            if depth + 1 < len(levels):
-                children = np.searchsorted(levels[depth + 1][1], np.arange(len(words) + 1))
-                coded = Sequence.build(children)
-                entry["pointers"] = (put(coded[0]), coded[1:])
             for value in values:
                 low, high = (float(value.min()), float(value.max())) if len(value) else (0.0, 0.0)
                 step = (high - low) / 65535 or 1.0
@@ -147,7 +172,6 @@ class Trie:
         self.levels = [
             {
                 "words": Sequence(memory[slice(*e["words"][0])], *e["words"][1]),
-                "pointers": Sequence(memory[slice(*e["pointers"][0])], *e["pointers"][1]) if "pointers" in e else None,
                 "values": [(memory[slice(*place)], low, step) for place, low, step in e["values"]],
             }
             for e in layout
@@ -156,23 +180,13 @@ class Trie:
 
     def find(self, depth, words, parent=None):
         """The node of each word, among the children of ``parent`` below the first level; -1 where there is none."""
-        level = self.levels[depth]
-        if not level["words"].count:
-            return np.full(len(words), -1, dtype=np.int64)
+        level = self.levels[depth]["words"]
         if not depth:
-            wanted, known = words, np.ones(len(words), dtype=bool)
-            at = level["words"].successor(wanted)
-            inside = at < level["words"].count
-        else:
-            known = parent >= 0
-            safe = np.where(known, parent, 0)
-            wanted = safe.astype(np.uint64) * self.BASE + words
-            at = level["words"].successor(wanted)
-            pointers = self.levels[depth - 1]["pointers"]
-            inside = (at >= pointers.get(safe).astype(np.int64)) & (at < pointers.get(safe + 1).astype(np.int64))
-        hit = known & inside
-        same = level["words"].get(np.where(hit, at, 0)) == wanted
-        return np.where(hit & same, at, -1)
+            return level.find(words)
+        known = np.flatnonzero(parent >= 0)
+        node = np.full(len(words), -1, dtype=np.int64)
+        node[known] = level.find(parent[known].astype(np.uint64) * self.BASE + words[known])
+        return node
 
     def value(self, depth, which, nodes):
         words, low, step = self.levels[depth]["values"][which]

@@ -21,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.elias_fano import Trie
-from tallyspark.llm.texts import words_of
 from tallyspark.session import stored
 
 # Weights of the trigram and the bigram counts, and of the unigram.
@@ -40,6 +40,8 @@ HELD_OUT = 10
 CHARACTERS_PER_SHARD = 10_000_000
 # Tokens that a task turns into one set of parcels, one for each shard.
 TOKENS_PER_BLOCK = 1_500_000
+# Bytes of text that a task cuts into words at a time.
+BYTES_PER_PIECE = 1_500_000
 # A word with more than this share of a shard's tokens is dealt out by the word before, too.
 FREQUENT = 1 / 8
 
@@ -53,39 +55,92 @@ def held_out(doc_id):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % HELD_OUT == 0
 
 
-class _Numbers(dict):
-    """Running numbers of words, in the order of their first use."""
+def _pieces(batch):
+    """A batch in slices of so many bytes of text, at least a row each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(lengths, dtype=np.int64) // BYTES_PER_PIECE
+    cuts = np.r_[0, np.flatnonzero(np.diff(piece)) + 1, len(piece)] if len(piece) else [0]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
 
-    def __missing__(self, word):
-        self[word] = number = len(self)
-        return number
+
+def _split(text):
+    """The words of an array of texts as numbers, one text behind the other, the words numbered, and how many each text has; as ``words_of`` has them."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    words = parts.flatten()
+    full = pc.binary_length(words).to_numpy() > 0
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), pc.list_value_length(parts).to_numpy())
+    coded = words.filter(pa.array(full)).dictionary_encode()
+    # Offsets of 64 bits, as words of many texts are joined. (A slice must not be cast before it is lower-cased: Arrow 23 misreads it.)
+    return coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary()), np.bincount(owner[full], minlength=len(parts))
 
 
 def _blocks(batches):
     """(doc ids, held out, tokens per document, numbers of all tokens with ends, 63-bit hash of each number)."""
-    numbers, docs, out, sizes, tokens, total = _Numbers({END: 0}), [], [], [], [], 0
+    docs, parts, total = [], [], 0
 
     def done():
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers, itertools.repeat(SEED)), dtype=np.uint64, count=len(numbers))
-        return docs, np.array(out, dtype=bool), np.array(sizes, dtype=np.int64), np.concatenate(tokens), hashes >> np.uint64(1)
+        # Words of a piece have numbers of their own, which become those of the block.
+        coded = pa.concat_arrays([words for _, words, _ in parts]).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, itertools.chain([END], words), itertools.repeat(SEED)), dtype=np.uint64, count=len(words) + 1)
+        sizes = np.concatenate([count for _, _, count in parts]).astype(np.int64) + 1
+        # Number 0 is the end, which is the last token of each document.
+        tokens = np.zeros(sizes.sum(), dtype=np.uint32)
+        word = np.ones(len(tokens), dtype=bool)
+        word[np.cumsum(sizes) - 1] = False
+        number = (coded.indices.to_numpy() + 1).astype(np.uint32)
+        starts = np.r_[0, np.cumsum([len(words) for _, words, _ in parts])]
+        tokens[word] = np.concatenate([number[start:][own] for start, (own, _, _) in zip(starts, parts)])
+        return docs, np.array([held_out(d) for d in docs], dtype=bool), sizes, tokens, hashes >> np.uint64(1)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words = words_of(text.as_py())
-            row = np.zeros(len(words) + 1, dtype=np.uint32)
-            row[:-1] = np.fromiter(map(numbers.__getitem__, words), dtype=np.uint32, count=len(words))
-            docs.append(doc_id)
-            out.append(held_out(doc_id))
-            sizes.append(len(row))
-            tokens.append(row)
-            total += len(row)
+        for piece in _pieces(batch):
+            parts.append(_split(piece.column(1)))
+            docs += piece.column(0).to_pylist()
+            total += len(parts[-1][0]) + len(parts[-1][2])
             if total >= TOKENS_PER_BLOCK:
-                yield done()
-                numbers, docs, out, sizes, tokens, total = _Numbers({END: 0}), [], [], [], [], 0
+                block, docs, parts, total = done(), [], [], 0
+                # What Arrow keeps would stand beside the sorting.
+                pa.default_memory_pool().release_unused()
+                yield block
     if docs:
         yield done()
 
 
+def _bits(numbers):
+    return max(1, int(numbers.max()).bit_length()) if len(numbers) else 1
+
+
+def _numbered(keys):
+    """For each of sorted keys, how many different ones come before it."""
+    return np.cumsum(np.r_[False, keys[1:] != keys[:-1]], dtype=np.uint64)[: len(keys)]
+
+
+def _ordered(high, before, stable=False):
+    """Where rows sorted by (high, before) come from. The bits of ``high`` and of the number of rows are at most 64 together.
+
+    Both keys fill one of 64 bits but for the last bits of ``before``, by which equal ones are sorted again.
+    """
+    bits = np.uint64(_bits(high))
+    key = high.astype(np.uint64)
+    key <<= np.uint64(64) - bits
+    key |= before >> bits
+    order = np.argsort(key)
+    key = _numbered(key[order]) << bits
+    key |= before[order] & ((np.uint64(1) << bits) - np.uint64(1))
+    again = np.argsort(key)
+    order = order[again]
+    if stable and len(order):
+        key = _numbered(key[again])
+        bits = np.uint64(_bits(order))
+        key <<= bits
+        key |= order.astype(np.uint64)
+        key.sort()
+        order = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return order
+
+
 def _packed(*arrays):
     """Arrays as one compressed parcel."""
     head = np.array([len(arrays), *(len(a) for a in arrays)], dtype=np.int64).tobytes()
@@ -174,7 +229,7 @@ def _parcels(shards, frequent):
             hot = np.isin(hashes, frequent)[tokens]
             shard[hot] = ((hashes[tokens[hot]] ^ (short[v[hot]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(20)) % np.uint64(shards)
             before = (short[v].astype(np.uint64) << np.uint64(32)) | short[u]
-            order = np.lexsort((before, shard * len(hashes) + rank[tokens]))
+            order = _ordered(shard * len(hashes) + rank[tokens], before, stable=True)
             doc, before, w, shard = doc[order], before[order], tokens[order], shard[order]
             # Equal n-grams of a document are one entry with a count.
             new = np.r_[True, (doc[1:] != doc[:-1]) | (before[1:] != before[:-1]) | (w[1:] != w[:-1]) | (shard[1:] != shard[:-1])]
@@ -229,10 +284,10 @@ def build_trie(word, before, known, totals, unigram, weights):
 
 
 def look_up(trie, word, before, unigram, weights):
-    """For n-grams (word, before): (log10 of the numerator, log10 of the denominator with the last two words as context)."""
+    """For sorted n-grams (word, before): (log10 of the numerator, log10 of the denominator with the last two words as context)."""
     _, _, m = weights
-    first, at = np.unique(word, return_inverse=True)
-    node1 = trie.find(0, first)[at]
+    new = np.r_[True, word[1:] != word[:-1]][: len(word)]
+    node1 = trie.find(0, word[new])[np.cumsum(new) - 1]
     pair = np.r_[True, (word[1:] != word[:-1]) | ((before[1:] ^ before[:-1]) >> np.uint64(32) > 0)] if len(word) else np.zeros(0, dtype=bool)
     group = np.cumsum(pair) - 1
     heads = np.flatnonzero(pair)
@@ -262,37 +317,41 @@ def _scored(totals, weights):
         rows = [(b, 0, p.as_py()) for b, k, p in zip(blocks, kinds, parcels) if k == 0]
         parts = [(b, *_unpacked(p.as_py())) for b, k, p in zip(blocks, kinds, parcels) if k == 1]
         if parts:
-            word = np.concatenate([np.repeat(p[1], p[2]) for p in parts])
             before = np.concatenate([(p[3].astype(np.uint64) << np.uint64(32)) | p[4] for p in parts])
             known = np.concatenate([np.where(p[7][p[5]], 0, p[6]) for p in parts]).astype(np.int64)
-            order = np.lexsort((before, word))
-            word_, before_, known_ = word[order], before[order], known[order]
-            new = np.r_[True, (word_[1:] != word_[:-1]) | (before_[1:] != before_[:-1])]
+            # Words by their places among those of the shard.
+            words = np.unique(np.concatenate([p[1] for p in parts]))
+            place = np.concatenate([np.repeat(np.searchsorted(words, p[1]).astype(np.int32), p[2]) for p in parts])
+            order = _ordered(place, before)
+            place, before, known = place[order], before[order], known[order]
+            new = np.r_[True, (place[1:] != place[:-1]) | (before[1:] != before[:-1])]
             heads = np.flatnonzero(new)
-            gram_word, gram_before = word_[heads], before_[heads]
-            gram_known = np.add.reduceat(known_, heads)
-            words, at = np.unique(gram_word, return_inverse=True)
+            at, gram_before = place[heads], before[heads]
+            gram_word, gram_known = words[at], np.add.reduceat(known, heads)
+            # Back to the entries in the order of the parcels.
+            gram = np.empty(len(order), dtype=np.int32)
+            gram[order] = np.cumsum(new, dtype=np.int32) - 1
+            del place, before, known, order, new, heads
             count = np.bincount(at, gram_known)
             # The n-grams of a frequent word are in several shards, its count is known from the first pass.
-            place = np.searchsorted(frequent, words)
-            place[place == len(frequent)] = 0
             if len(frequent):
-                hit = frequent[place] == words
-                count[hit] = frequent_known[place[hit]]
+                known_at = np.searchsorted(frequent, words)
+                known_at[known_at == len(frequent)] = 0
+                hit = frequent[known_at] == words
+                count[hit] = frequent_known[known_at[hit]]
             taught = gram_known > 0
-            taught_words = np.unique(at[taught])
+            has = np.zeros(len(words), dtype=bool)
+            has[at[taught]] = True
+            taught_words = np.flatnonzero(has)
             trie = build_trie(gram_word[taught], gram_before[taught], gram_known[taught], count[taught_words], unigram, weights)
             number, context = look_up(trie, gram_word, gram_before, unigram, weights)
             # A frequent word that has no training n-gram here still has its own count.
-            lost = (count[at] > 0) & ~np.isin(at, taught_words)
+            lost = (count[at] > 0) & ~has[at]
             number[lost] = np.log10(weights[2] * unigram(count[at[lost]]))
             context[lost] = np.log10(weights[1] * count[at[lost]] + weights[2])
             gain = number - np.where(gram_word == end, 0.0, context)
             base = np.log10(count + ADDED)[at]
             seen = count[at] > 0
-            # Back to the entries in the order of the parcels.
-            gram = np.empty(len(word), dtype=np.int64)
-            gram[order] = np.cumsum(new) - 1
             start = 0
             for block, *part in parts:
                 doc, times = part[4], part[5]

@@ -4,11 +4,14 @@ import hashlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tallyspark.llm import bpe, catalog, lines, ngrams, simhash, templates, toxicity
 from tallyspark.llm.components import connected_components
+from tallyspark.llm.texts import words_of
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, score string, n_lines int, fp string, _toxic int"
@@ -201,6 +204,21 @@ def test_ngram_scores_against_plain_counts(spark, given, monkeypatch):
         assert abs(r.base_score - base) < 1e-9 * abs(base) and abs(r.score - score) < 1e-3 * n
 
 
+@pytest.mark.parametrize("limit", [1, 40, 1_000_000])
+def test_ngram_blocks_hold_the_words_of_any_slice(monkeypatch, limit):
+    monkeypatch.setattr(ngrams, "TOKENS_PER_BLOCK", limit)
+    monkeypatch.setattr(ngrams, "BYTES_PER_PIECE", limit)
+    texts = [" A b\x0b\x0cc\td\r\n", "", None, "\x1c \x85y\xa0 É\u2003ß", "Zz zZ\x00 日本 b", "x" * 50, " "] * 5
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, *range(1, 35)], pa.int64()), "text": pa.array(texts)})
+    ids, found = [], []
+    for docs, out, sizes, tokens, hashes in ngrams._blocks(iter([batch.slice(0, 9), batch.slice(9, 0), batch.slice(9)])):
+        ids += docs
+        assert out.tolist() == [ngrams.held_out(d) for d in docs]
+        found += [hashes[x].tolist() for x in np.split(tokens, np.cumsum(sizes)[:-1])]
+    assert ids == batch.column(0).to_pylist()
+    assert found == [[xxhash.xxh64_intdigest(w, ngrams.SEED) >> 1 for w in [*words_of(t), ngrams.END]] for t in texts]
+
+
 def test_ngram_scores_of_odd_rows(spark):
     rows = ngrams.score(documents(spark, ODD)).collect()
     assert len(rows) == len(ODD)

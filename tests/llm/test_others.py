@@ -10,7 +10,7 @@ from compare import connect, differences
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyspark.llm import catalog, chat, lattice, licences, pages
+from tallyspark.llm import catalog, chat, elias_fano, lattice, licences, pages
 from tallyspark.llm.elias_fano import Sequence, Trie
 
 SF = "/root/testdata/sf0.001"
@@ -200,6 +200,18 @@ def test_sequences_find_successors(n, top):
     assert (sequence.successor(asked) == np.searchsorted(values, asked)).all()
 
 
+def test_search_among_numbers_of_equal_high_bits_is_by_halves(monkeypatch):
+    calls, unpack = [], elias_fano._unpack
+    monkeypatch.setattr(elias_fano, "_unpack", lambda *args: calls.append(1) or unpack(*args))
+    values = np.r_[np.arange(0, 20_000, 2), 1 << 50].astype(np.uint64)
+    sequence = Sequence(*Sequence.build(values))
+    asked = np.arange(20_010).astype(np.uint64)
+    assert (sequence.successor(asked) == np.searchsorted(values, asked)).all()
+    assert len(calls) < 30
+    assert (sequence.find(asked) == np.where((asked % 2 == 0) & (asked < 20_000), asked // 2, -1).astype(np.int64)).all()
+    assert sequence.find(np.array([1 << 50, (1 << 50) + 1], dtype=np.uint64)).tolist() == [10_000, -1]
+
+
 def test_trie_is_compact_and_finds_children_of_their_context():
     random = np.random.default_rng(8)
     first = np.unique(random.integers(0, 1 << 62, 500).astype(np.uint64))
