@@ -48,3 +48,9 @@ def test_profile_has_no_distinct_expansion(spark):
 def test_top_values_are_cut_before_the_shuffle(spark):
     text = plan(spark, "cluster_top_occupations")
     assert text.count("WindowGroupLimit") >= 2
+
+
+def test_training_pairs_are_grouped_once(spark):
+    # Pairs and their history come from one scan of the transactions; the donor table is stored.
+    leaves = QUERIES["likelihood_training_frame"](spark, SF)._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert sum("l_extendedprice" in leaves.apply(i).toString() for i in range(leaves.size())) == 1
